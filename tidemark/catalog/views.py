@@ -51,7 +51,7 @@ VIEWS = {
     "risk_signals_v": """SELECT event_id AS transaction_id, user_id, ts AS event_time,
         CASE event_id % 4 WHEN 0 THEN 'chargeback' WHEN 1 THEN 'fraud_flag' WHEN 2 THEN 'velocity_alert' ELSE 'device_alert' END AS signal_type,
         (event_id * 37 % 100) / 1e2 AS signal_value FROM {events} WHERE event_type = 'error'""",
-    "profile_snapshots_v": """SELECT user_id, ts AS snapshot_time, event_id, cast(value * 10 AS bigint) AS account_age_days,
+    "profile_snapshots_v": """SELECT user_id, ts AS snapshot_time, event_id, cast(floor(value * 10) AS bigint) AS account_age_days,
         CASE event_id % 4 WHEN 0 THEN 'verified' WHEN 1 THEN 'pending' WHEN 2 THEN 'rejected' ELSE 'not_started' END AS kyc_status,
         CASE WHEN value > 50 THEN 'active' ELSE 'suspended' END AS account_status FROM {events} WHERE event_type = 'signup'""",
     "fraud_labels_v": """SELECT event_id AS transaction_id, ts AS event_time, ts + (event_id % 12) * INTERVAL '1' DAY AS label_time,
