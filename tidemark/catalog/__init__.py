@@ -1,6 +1,6 @@
 """All registered queries; importing the package fills the registry."""
 
-from . import feature_queries, fraud_queries, metric_queries, quality_queries  # noqa: F401
+from . import decision_queries, feature_queries, fraud_queries, metric_queries, quality_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

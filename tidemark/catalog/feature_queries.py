@@ -26,8 +26,8 @@ def as_of_values(values: list[str]) -> str:
     return f"(VALUES {rows}) s(as_of_time)"
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({n: F.round(n, digits) for n in names})
 
 
 @query(

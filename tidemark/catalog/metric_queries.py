@@ -42,20 +42,17 @@ def binary_metrics(t: Tables) -> DataFrame:
 
 @query(
     "stratified_metrics", "scored_v labels",
-    f"""WITH k AS (SELECT s.*, 'stratum' AS strat, cast(s.stratum AS VARCHAR) AS val FROM scored_v s UNION ALL
+    f"""WITH k AS (SELECT s.*, 'toxic' AS strat, cast(s.stratum AS VARCHAR) AS val FROM scored_v s UNION ALL
         SELECT s.*, 'source_group' AS strat, CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS val FROM scored_v s)
       SELECT strat AS stratum, val AS stratum_value, * EXCLUDE (strat, val) FROM ({_BINARY.replace('scored_v', 'k').format(by='strat, val,', group='GROUP BY strat, val')})""",
 )
 def stratified_metrics(t: Tables) -> DataFrame:
-    rows = t.scored_v.withColumn("source_group", F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd"))
-    rows = rows.withColumnRenamed("stratum", "toxic").withColumn("stratum", F.col("toxic"))
-    pairs = rows.select("y", "p", F.col("toxic").alias("stratum_col"), "source_group")
-    out = mx.stratified(
-        pairs.withColumnRenamed("stratum_col", "stratum_src"), ["stratum_src", "source_group"], lambda d, by: mx.binary_metrics(d, "y", "p", by)
+    rows = t.scored_v.select(
+        "y", "p", F.col("stratum").alias("toxic"), F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("source_group")
     )
-    out = out.withColumn("stratum", F.when(F.col("stratum") == "stratum_src", "stratum").otherwise(F.col("stratum")))
-    out = out.select("stratum", "stratum_value", "n", "positives", "brier", "log_loss", "precision", "recall", "f1", "accuracy")
-    return rounded(out, *out.columns[4:])
+    out = mx.stratified(rows, ["toxic", "source_group"], lambda d, by: mx.binary_metrics(d, "y", "p", by))
+    names = ["n", "positives", "brier", "log_loss", "precision", "recall", "f1", "accuracy"]
+    return rounded(out.select("stratum", "stratum_value", *names), *names[2:])
 
 
 @query(

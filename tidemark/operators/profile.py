@@ -56,9 +56,8 @@ def drift_baseline(df: DataFrame, version: str, score: str | None = None, method
         numeric = numeric.unionByName(scored)
     names = text_columns(rest.schema)
     if names:
-        counts = value_counts_long(rest, names).groupBy("feature", "value").agg(F.sum("n").alias("n"))
-        counts = counts.withColumns({"kind": F.lit("category"), "sample_size": F.col("n")})
-        numeric = numeric.unionByName(counts.drop("n"), allowMissingColumns=True)
+        counts = value_counts_long(rest, names).withColumnRenamed("n", "sample_size").withColumn("kind", F.lit("category"))
+        numeric = numeric.unionByName(counts, allowMissingColumns=True)
     else:
         numeric = numeric.withColumn("value", F.lit(None).cast("string"))
     return numeric.withColumn("baseline_version", F.lit(version))
