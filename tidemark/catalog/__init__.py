@@ -1,6 +1,8 @@
 """All registered queries; importing the package fills the registry."""
 
-from . import decision_queries, feature_queries, fraud_queries, metric_queries, quality_queries  # noqa: F401
+from . import (  # noqa: F401
+    decision_queries, feature_queries, fraud_queries, metric_queries, quality_queries, store_queries, text_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -25,20 +25,20 @@ def _walk(budget: str, by: str = "") -> str:
       picked AS (SELECT o.* FROM walk w JOIN ordered o USING (i) WHERE w.taken)"""
 
 
-@query("offer_candidates", "user_scores_v", f"WITH {_PROFITS} SELECT user_id, offer_type, round(profit, 8) AS profit, cost, round(ratio, 8) AS profit_per_cost FROM cand")
+@query("offer_candidates", "user_scores_v", f"WITH {_PROFITS} SELECT user_id, offer_type, round(profit, 10) AS profit, cost, round(ratio, 10) AS profit_per_cost FROM cand")
 def offer_candidates(t: Tables) -> DataFrame:
-    return rounded(al.offer_candidates(t.user_scores_v, al.DEFAULT_OFFERS), "profit", "profit_per_cost", digits=8)
+    return rounded(al.offer_candidates(t.user_scores_v, al.DEFAULT_OFFERS), "profit", "profit_per_cost", digits=10)
 
 
 @query(
     "segment_candidates", "user_scores_v",
-    """SELECT user_id, 'CALL_SUPPORT' AS offer_type, round(churn_prob * (0.15e0 * CASE WHEN segment = 'BUILDING' THEN 1.1e0 ELSE 0.9e0 END) * ltv_90d - 20, 8) AS profit, 20e0 AS cost,
-      round((churn_prob * (0.15e0 * CASE WHEN segment = 'BUILDING' THEN 1.1e0 ELSE 0.9e0 END) * ltv_90d - 20) / 20, 8) AS profit_per_cost FROM user_scores_v
+    """SELECT user_id, 'CALL_SUPPORT' AS offer_type, round(churn_prob * (0.15e0 * CASE WHEN segment = 'BUILDING' THEN 1.1e0 ELSE 0.9e0 END) * ltv_90d - 20, 10) AS profit, 20e0 AS cost,
+      round((churn_prob * (0.15e0 * CASE WHEN segment = 'BUILDING' THEN 1.1e0 ELSE 0.9e0 END) * ltv_90d - 20) / 20, 10) AS profit_per_cost FROM user_scores_v
       WHERE churn_prob * (0.15e0 * CASE WHEN segment = 'BUILDING' THEN 1.1e0 ELSE 0.9e0 END) * ltv_90d - 20 > 0 AND churn_prob >= 0.1""",
 )
 def segment_candidates(t: Tables) -> DataFrame:
     offers = [al.Offer("CALL_SUPPORT", 20.0, 0.15, "BUILDING")]
-    return rounded(al.offer_candidates(t.user_scores_v, offers, segment="segment", skip_low_risk=0.1), "profit", "profit_per_cost", digits=8)
+    return rounded(al.offer_candidates(t.user_scores_v, offers, segment="segment", skip_low_risk=0.1), "profit", "profit_per_cost", digits=10)
 
 
 @query(
