@@ -107,8 +107,8 @@ def audit_rejects_last_day(t: Tables) -> DataFrame:
 
 @query(
     "action_mix", "audit_v",
-    """SELECT domain, CAST(date_trunc('day', created_at) AS TIMESTAMP) AS window_start, json_extract_string(decision, '$.decision') AS action, count(*) AS n,
-      round(count(*) * 1e0 / sum(count(*)) OVER (PARTITION BY domain, CAST(date_trunc('day', created_at) AS TIMESTAMP)), 6) AS share FROM audit_v GROUP BY ALL""",
+    """WITH c AS (SELECT domain, CAST(date_trunc('day', created_at) AS TIMESTAMP) AS window_start, json_extract_string(decision, '$.decision') AS action, count(*) AS n FROM audit_v GROUP BY ALL)
+      SELECT *, round(n / sum(n) OVER (PARTITION BY domain, window_start), 6) AS share FROM c""",
 )
 def action_mix(t: Tables) -> DataFrame:
     return rounded(mo.action_mix(t.audit_v), "share")

@@ -31,7 +31,8 @@ def threshold_entries(config: dict) -> Column:
                         )
                     )
                     break
-    return F.array(*rows)
+    kind = "array<struct<section:string,metric:string,rule:string,threshold:double,scale:double>>"
+    return F.array(*rows).cast(kind)
 
 
 def evaluate_gate(metrics: DataFrame, config: dict, by: tuple[str, ...] = (), missing: str = "skip") -> DataFrame:

@@ -79,13 +79,16 @@ def slo_windows(
     ``exact`` sorts across partitions.
     """
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
-    rows = audit.select(by, w.start.alias("window_start"), "latency_ms", (F.col("status") >= 500).cast("double").alias("failed"))
-    base = rows.groupBy(by, "window_start")
-    rates = [F.count(F.lit(1)).alias("n"), F.avg("failed").alias("error_rate")]
+    rows = audit.select(by, w.alias("w"), "latency_ms", (F.col("status") >= 500).cast("double").alias("failed"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg("failed").alias("error_rate")]
     if method == "sketch":
-        return base.agg(*rates, F.percentile_approx("latency_ms", 0.95, 10000).cast("double").alias("p95_ms"))
-    exact = exact_quantiles(rows, "latency_ms", {"p95_ms": 0.95}, (by, "window_start"))
-    return base.agg(*rates).join(exact, [by, "window_start"])
+        aggs.append(F.percentile_approx("latency_ms", 0.95, 10000).cast("double").alias("p95_ms"))
+    out = rows.groupBy(by, "w").agg(*aggs)
+    out = out.select(by, F.col("w.start").alias("window_start"), *[c for c in out.columns if c not in (by, "w")])
+    if method == "sketch":
+        return out
+    flat = rows.select(by, F.col("w.start").alias("window_start"), "latency_ms")
+    return out.join(exact_quantiles(flat, "latency_ms", {"p95_ms": 0.95}, (by, "window_start")), [by, "window_start"])
 
 
 def _level(value: Column, limits: dict[str, float]) -> Column:
