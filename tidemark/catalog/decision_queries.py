@@ -56,26 +56,26 @@ def greedy_allocate(t: Tables) -> DataFrame:
 @query(
     "decision_metrics", "user_scores_v",
     f"""WITH RECURSIVE {_PROFITS}, {_walk('500e0')}
-      SELECT round(sum(profit), 6) AS total_expected_profit, round(sum(cost) / 500, 6) AS budget_utilization, round(sum(profit), 6) AS profit_uplift,
-        (SELECT count(*) FROM user_scores_v) AS n_users, round(1 - sum(u.churn) * 1e0 / count(*), 6) AS offer_fp_rate FROM picked JOIN user_scores_v u USING (user_id)""",
+      SELECT round(sum(profit), 8) AS total_expected_profit, round(sum(cost) / 500, 8) AS budget_utilization, round(sum(profit), 8) AS profit_uplift,
+        (SELECT count(*) FROM user_scores_v) AS n_users, round(1 - sum(u.churn) * 1e0 / count(*), 8) AS offer_fp_rate FROM picked JOIN user_scores_v u USING (user_id)""",
 )
 def allocation_metrics(t: Tables) -> DataFrame:
     decisions = al.greedy_allocate(t.user_scores_v, al.DEFAULT_OFFERS, BUDGET)
     out = decision_metrics(decisions, BUDGET, t.user_scores_v.select("user_id", "churn"))
-    return rounded(out, "total_expected_profit", "budget_utilization", "profit_uplift", "offer_fp_rate")
+    return rounded(out, "total_expected_profit", "budget_utilization", "profit_uplift", "offer_fp_rate", digits=8)
 
 
 @query(
     "backtest_strata", "user_scores_v",
     f"""WITH RECURSIVE {_PROFITS}, {_walk('500e0')}
-      SELECT 'segment' AS stratum, u.segment AS stratum_value, round(coalesce(sum(p.profit), 0), 6) AS total_expected_profit, round(coalesce(sum(p.cost), 0) / 500, 6) AS budget_utilization,
-        round(coalesce(sum(p.profit), 0), 6) AS profit_uplift, count(*) AS n_users, round(1 - sum(u.churn) FILTER (p.user_id IS NOT NULL) * 1e0 / nullif(count(p.user_id), 0), 6) AS offer_fp_rate
+      SELECT 'segment' AS stratum, u.segment AS stratum_value, round(coalesce(sum(p.profit), 0), 8) AS total_expected_profit, round(coalesce(sum(p.cost), 0) / 500, 8) AS budget_utilization,
+        round(coalesce(sum(p.profit), 0), 8) AS profit_uplift, count(*) AS n_users, round(1 - sum(u.churn) FILTER (p.user_id IS NOT NULL) * 1e0 / nullif(count(p.user_id), 0), 8) AS offer_fp_rate
       FROM user_scores_v u LEFT JOIN picked p USING (user_id) GROUP BY u.segment""",
 )
 def backtest_strata(t: Tables) -> DataFrame:
     users = t.user_scores_v
     out = al.backtest(users, al.DEFAULT_OFFERS, BUDGET, users.select("user_id", "churn"), ["segment"])["stratified"]
-    return rounded(out, "total_expected_profit", "budget_utilization", "profit_uplift", "offer_fp_rate")
+    return rounded(out, "total_expected_profit", "budget_utilization", "profit_uplift", "offer_fp_rate", digits=8)
 
 
 _BUDGETS = ", ".join(f"({BUDGET * (1.0 if i == 9 else 0.1 + 0.1 * i):.6f}::DOUBLE)" for i in range(10))
@@ -90,11 +90,11 @@ _BUDGETS = ", ".join(f"({BUDGET * (1.0 if i == 9 else 0.1 + 0.1 * i):.6f}::DOUBL
           CASE WHEN w.remaining >= o.cost AND NOT list_contains(w.chosen, o.user_id) THEN list_append(w.chosen, o.user_id) ELSE w.chosen END
         FROM walk w JOIN ordered o ON o.i = w.i + 1 WHERE w.remaining >= 5),
       last AS (SELECT budget, arg_max(remaining, i) AS remaining, arg_max(profit, i) AS profit FROM walk GROUP BY 1)
-      SELECT round(budget, 6) AS budget, round(profit, 6) AS profit, round(budget - remaining, 6) AS cost, round((budget - remaining) / budget, 6) AS budget_utilization FROM last""",
+      SELECT round(budget, 8) AS budget, round(profit, 8) AS profit, round(budget - remaining, 8) AS cost, round((budget - remaining) / budget, 8) AS budget_utilization FROM last""",
 )
 def profit_curve(t: Tables) -> DataFrame:
     out = al.profit_curve(t.user_scores_v, al.DEFAULT_OFFERS, BUDGET)
-    return rounded(out, "budget", "profit", "cost", "budget_utilization")
+    return rounded(out, "budget", "profit", "cost", "budget_utilization", digits=8)
 
 
 @query("lagrangian_report", "user_scores_v", None)
