@@ -99,7 +99,7 @@ def test_phrase_hits_small_and_blocked_agree(spark):
     p = spark.createDataFrame([(x,) for x in phrases], "phrase string")
     want = sorted((i, x) for i, t in enumerate(texts) for x in phrases if x in t)
     assert sorted(map(tuple, rt.phrase_hits(c, p).collect())) == want
-    assert sorted(map(tuple, rt.phrase_hits(c, p, block=5, salts=3).collect())) == want
+    assert sorted(map(tuple, rt.phrase_hits(c, p, block=5, text_rows=13).collect())) == want
 
 
 def test_keyword_counts_distinct_words_inside_text(spark):

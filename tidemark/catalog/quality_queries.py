@@ -263,3 +263,15 @@ def weekly_psi(t: Tables) -> DataFrame:
     edges = drift.baseline_edges(base, ["value"])
     series = drift.psi_numeric(base, rows.filter(F.col("ts") >= first), edges, ("wk",))
     return rounded(drift.drift_triggers(series, (), "wk", step=F.expr("INTERVAL 7 DAY")), "psi")
+
+
+@query(
+    "drift_alerts", "events",
+    f"""SELECT feature, wk, round(psi, 6) AS psi, CASE feature WHEN 'score' THEN 'score_drift' ELSE 'feature_drift' END AS type, 'high' AS severity
+      FROM ({_WEEKS}) WHERE psi >= CASE WHEN feature = 'score' THEN 0.25 ELSE 0.30 END""",
+)
+def drift_alerts(t: Tables) -> DataFrame:
+    week = F.date_trunc("week", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+    kind = F.when(F.col("event_type") == "purchase", "amount").when(F.col("event_type") == "error", "velocity_risk_score").otherwise("score")
+    series = t.events.groupBy(week.alias("wk"), kind.alias("feature")).agg((F.avg("value") / 200).alias("psi"))
+    return rounded(drift.alerts(series), "psi")

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import answers as an, gates, metrics as mx, retrieval as rt, text as tx
+from ..sources.tables import spread
 from .feature_queries import rounded
 from .registry import query
 from .views import Tables
@@ -12,7 +13,7 @@ _CHUNKS = """chunks AS (SELECT concat('doc_', cast(doc_id AS string), ':p0:', ca
 
 
 def _docs(t: Tables) -> DataFrame:
-    return t.documents.select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source_id"), "text")
+    return spread(t.documents).select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source_id"), "text")
 
 
 def _chunks(t: Tables) -> DataFrame:
@@ -51,7 +52,7 @@ _BREAK = r"</?(?:html|body|p|div|ul|ol|li|h[1-6]|table|thead|tbody|tr|td|th|br|h
       SELECT page_id AS source_id, CAST(unnest(range(len(l))) AS INTEGER) AS block, unnest(l) AS content FROM d""",
 )
 def html_blocks(t: Tables) -> DataFrame:
-    return tx.html_blocks(t.pages, "page_id", "html")
+    return tx.html_blocks(spread(t.pages), "page_id", "html")
 
 
 _BM25 = """toks AS (SELECT {id} AS chunk_id, list_filter(regexp_split_to_array({text}, '\\s+'), lambda x: x <> '') AS w FROM {corpus}),
@@ -90,7 +91,7 @@ def bm25_topk(t: Tables) -> DataFrame:
 )
 def dense_topk(t: Tables) -> DataFrame:
     queries = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return rounded(rt.dense_topk(t.embeddings, queries, vector_id="vec_id"), "score")
+    return rounded(rt.dense_topk(spread(t.embeddings), queries, vector_id="vec_id"), "score")
 
 
 @query(
@@ -123,7 +124,7 @@ _DENSE_ITEMS = """dn AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(
 
 
 def _doc_candidates(t: Tables, k: int = 10) -> tuple[DataFrame, DataFrame]:
-    lexical = rt.bm25_topk(t.documents, _queries(t), k, "doc_id", "text")
+    lexical = rt.bm25_topk(spread(t.documents), _queries(t), k, "doc_id", "text")
     vectors = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     asked = vectors.join(_queries(t).select("query_id"), "query_id", "left_semi")
     return lexical, rt.dense_topk(t.embeddings, asked, k, vector_id="vec_id")
@@ -152,7 +153,7 @@ def hybrid_fallback(t: Tables) -> DataFrame:
 
 @query("gold_evidence", "gold_v", "SELECT query_id, doc_id FROM gold_v")
 def gold_evidence(t: Tables) -> DataFrame:
-    hits = rt.phrase_hits(t.documents, t.benchmark, "doc_id", "text", "text")
+    hits = rt.phrase_hits(spread(t.documents), t.benchmark, "doc_id", "text", "text")
     items = t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase"))
     return hits.join(items, "phrase").select("query_id", F.col("chunk_id").alias("doc_id"))
 

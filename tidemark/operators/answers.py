@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import strip_space
-from .ordered import exact_quantiles, ranked
+from .ordered import exact_quantiles
 
 # Answer without evidence, citation pattern, router prefixes, prompt text, separators.
 IDK = "I don't know."
@@ -167,6 +167,7 @@ def hard_set(
 ) -> DataFrame:
     """Low-rated or unfaithful requests, lowest rating first, at most ``max_count``; empty when fewer than ``min_count``."""
     low = feedback.filter((F.coalesce("rating", F.lit(5)) <= 2) | (F.coalesce("faithfulness", F.lit(1.0)) < 0.7))
-    numbered = ranked(low, [("rating", "asc"), (row_id, "asc")], rank="__rank", size="__size")
-    kept = numbered.filter((F.least(F.col("__size"), F.lit(max_count)) >= min_count) & (F.col("__rank") <= max_count))
-    return kept.drop("__rank", "__size")
+    kept = low.orderBy("rating", row_id).limit(max_count)
+    # At most max_count rows are left to count.
+    sized = kept.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    return sized.filter(F.col("__n") >= min_count).drop("__n")

@@ -30,11 +30,14 @@ def baseline_edges(base: DataFrame, features: list[str], bins: int = BINS, metho
     """
     long = unpivot_numeric(base, features)
     probs = {f"q{i}": i / bins for i in range(1, bins)}
-    edges = quantiles(long, "value", probs, ("feature",), method)
-    # At most bins + 1 values per feature leave the partial stage, so counting stays bounded.
-    few = long.groupBy("feature", "value").agg(F.lit(1).alias("one"))
-    wide = top_k(few, ["feature"], [("value", "asc")], bins + 1).groupBy("feature").agg(F.count(F.lit(1)).alias("kinds"))
-    rows = edges.join(wide, "feature").filter(F.col("kinds") > bins).drop("kinds").collect()
+    if method == "exact":
+        edges = exact_quantiles(long, "value", probs, ("feature",), distinct="kinds")
+    else:
+        # At most bins + 1 values per feature and task leave the partial top-k, so counting stays bounded.
+        values = long.groupBy("feature", "value").agg(F.lit(1).alias("one"))
+        kinds = top_k(values, ["feature"], [("value", "asc")], bins + 1).groupBy("feature").agg(F.count(F.lit(1)).alias("kinds"))
+        edges = quantiles(long, "value", probs, ("feature",), method).join(kinds, "feature")
+    rows = edges.filter(F.col("kinds") > bins).collect()
     return {r["feature"]: [r[f"q{i}"] for i in range(1, bins)] for r in rows}
 
 
@@ -148,7 +151,3 @@ def drift_triggers(
     allowed = F.lit(True) if critical is None else is_score | F.col("feature").isin(critical)
     return out.withColumns({"alert": F.coalesce(hit, F.lit(False)), "retrain": (F.col("streak") >= consecutive) & allowed})
 
-
-__all__ = [
-    "alerts", "baseline_edges", "drift_report", "drift_triggers", "exact_quantiles", "ks_statistic", "psi_categorical", "psi_numeric",
-]

@@ -87,15 +87,15 @@ def top_fraction(df: DataFrame, order: list[tuple[str, str]], fraction: float, b
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), weight: str | None = None
+    df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), distinct: str | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles without holding a group in one task.
 
     Equal values are collapsed first, so the range partitioning sees unique
-    keys and a value holding a third of all rows is one row.
+    keys and a value holding a third of all rows is one row.  ``distinct``
+    names a column for the number of distinct values, which comes for free.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value)
-    collapsed = counted.agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
+    collapsed = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
     ordered = prefix_sum(collapsed, [(value, "asc")], {"__n": "__upto"}, by=by, totals={"__n": "__total"})
 
     first = F.col("__upto") - F.col("__n")
@@ -112,9 +112,10 @@ def exact_quantiles(
             at(F.least(low + 1, F.col("__total") - 1)).alias(f"__hi_{name}"),
             F.max(position - low).alias(f"__w_{name}"),
         ]
-    picked = ordered.groupBy(*by).agg(*aggs)
+    picked = ordered.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("__kinds"))
     return picked.select(
         *by,
+        *([F.col("__kinds").alias(distinct)] if distinct else []),
         *[
             (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__w_{n}")).alias(n)
             for n in probs

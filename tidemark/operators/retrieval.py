@@ -170,12 +170,8 @@ def _dense_small(left: DataFrame, right: DataFrame, k: int, metric: str, schema:
 def _dense_blocks(left: DataFrame, right: DataFrame, k: int, metric: str, schema: str, q_rows: int, v_rows: int) -> DataFrame:
     q_blocks = max(1, math.ceil(right.count() / q_rows))
     v_blocks = max(1, math.ceil(left.count() / v_rows))
-
-    def copies(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    a = left.withColumn("vb", F.pmod(F.xxhash64("chunk_id"), F.lit(v_blocks)).cast("int")).withColumn("qb", copies(q_blocks))
-    b = right.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")).withColumn("vb", copies(v_blocks))
+    a = left.withColumn("vb", F.pmod(F.xxhash64("chunk_id"), F.lit(v_blocks)).cast("int")).withColumn("qb", _copies(q_blocks))
+    b = right.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")).withColumn("vb", _copies(v_blocks))
 
     def run(_, vectors, asked):
         import pandas as pd
@@ -189,28 +185,70 @@ def _dense_blocks(left: DataFrame, right: DataFrame, k: int, metric: str, schema
 
 def phrase_hits(
     chunks: DataFrame, phrases: DataFrame, chunk_id: str = "chunk_id", text: str = "content", phrase: str = "phrase",
-    lower: bool = False, block: int = 4096, salts: int = 64,
+    lower: bool = False, block: int = 50_000, block_chars: int = 16_000_000, text_rows: int = 20_000,
 ) -> DataFrame:
-    """(phrase, chunk_id): phrases contained in a text as a substring.
+    """(chunk_id, phrase): phrases contained in a text as a substring, each pair once.
 
-    Distinct phrases are packed into blocks of about ``block``; a text row
-    tests a whole block at once and unfolds only its hits.  A single block is
-    sent to the tasks (its size was checked).  With more blocks every text row
-    is copied per block and salted, so no block becomes a hot key.
+    A task scans each text once for all phrases with a multi-pattern
+    automaton, so the cost follows the text and its hits, not texts x phrases.
+    Phrases whose number and length are within the bounds are sent to the
+    tasks; beyond that both sides are cut into blocks that meet in one shuffle.
     """
     body = F.lower(F.col(text)) if lower else F.col(text)
     words = phrases.select(F.col(phrase).alias("phrase")).filter(F.length("phrase") > 0).distinct()
-    rows = chunks.select(F.col(chunk_id).alias("chunk_id"), body.alias("__body"))
-    hits = F.explode(F.filter("words", lambda w: F.contains(F.col("__body"), w))).alias("phrase")
-    if within(words, block):
-        packed = words.agg(F.collect_list("phrase").alias("words")).withColumn("b", F.lit(0))
-        joined = rows.withColumn("b", F.lit(0)).join(F.broadcast(packed), "b")
-        return joined.select("chunk_id", hits)
-    n = math.ceil(words.count() / block)
-    packed = words.groupBy(F.pmod(F.xxhash64("phrase"), F.lit(n)).cast("int").alias("b")).agg(F.collect_list("phrase").alias("words"))
-    packed = packed.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = rows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("s", F.pmod(F.xxhash64("chunk_id"), F.lit(salts)).cast("int"))
-    return spread.join(packed, ["b", "s"]).select("chunk_id", hits)
+    rows = chunks.select(F.col(chunk_id).alias("chunk_id"), body.alias("body")).filter(F.col("body").isNotNull())
+    schema = f"chunk_id {chunks.schema[chunk_id].dataType.simpleString()}, phrase string"
+    size = words.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("phrase")), F.lit(0)).alias("chars")).first()
+    if size["n"] == 0:
+        return chunks.sparkSession.createDataFrame([], schema)
+    if size["n"] <= block and size["chars"] <= block_chars:
+        shared = chunks.sparkSession.sparkContext.broadcast([r["phrase"] for r in words.collect()])
+
+        def run(batches):
+            machine = _automaton(shared.value)
+            for batch in batches:
+                yield _scan(machine, batch["chunk_id"], batch["body"])
+
+        return rows.mapInPandas(run, schema)
+
+    phrase_blocks = max(math.ceil(size["n"] / block), math.ceil(size["chars"] / block_chars))
+    text_blocks = max(1, math.ceil(rows.count() / text_rows))
+    a = words.withColumn("pb", F.pmod(F.xxhash64("phrase"), F.lit(phrase_blocks)).cast("int")).withColumn("tb", _copies(text_blocks))
+    b = rows.withColumn("tb", F.pmod(F.xxhash64("chunk_id"), F.lit(text_blocks)).cast("int")).withColumn("pb", _copies(phrase_blocks))
+
+    def meet(_, some_phrases, texts):
+        import pandas as pd
+
+        if len(some_phrases) == 0 or len(texts) == 0:
+            return pd.DataFrame({"chunk_id": [], "phrase": []})
+        return _scan(_automaton(list(some_phrases["phrase"])), texts["chunk_id"], texts["body"])
+
+    return a.groupBy("pb", "tb").cogroup(b.groupBy("pb", "tb")).applyInPandas(meet, schema)
+
+
+def _copies(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
+def _automaton(phrases: list[str]):
+    import ahocorasick
+
+    machine = ahocorasick.Automaton()
+    for p in phrases:
+        machine.add_word(p, p)
+    machine.make_automaton()
+    return machine
+
+
+def _scan(machine, ids, bodies):
+    import pandas as pd
+
+    out_ids, out_phrases = [], []
+    for i, text in zip(ids, bodies):
+        found = {p for _, p in machine.iter(text)}
+        out_ids.extend([i] * len(found))
+        out_phrases.extend(found)
+    return pd.DataFrame({"chunk_id": pd.Series(out_ids, dtype=ids.dtype), "phrase": pd.Series(out_phrases, dtype=object)})
 
 
 def keyword_topk(

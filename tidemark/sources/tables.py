@@ -77,6 +77,16 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CHUNKS).json(path).filter(F.col("chunk_id").isNotNull())
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a few large input splits dealt out over all cores before CPU-heavy text work.
+
+    A table that already has enough splits is left alone, so nothing is
+    shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN is missing: applied at ingest so that comparisons and aggregates skip it."""
     floats = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
