@@ -157,3 +157,18 @@ def test_per_event_velocity_with_a_hot_user(spark):
         for name, w in (("1h", 3600), ("24h", 86400)):
             seen = [x[3] for x in rows if x[1] == me[1] and me[2] - w <= x[2] < me[2]]
             assert r[f"count_{name}"] == len(seen) and r[f"sum_{name}"] == sum(seen) and r[f"max_{name}"] == (max(seen) if seen else None)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_spread_join_equals_the_plain_join(spark, how):
+    from tidemark.operators import skew
+
+    left = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"), "id")
+    right = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    assert skew.hot_keys(left, "k", 0.2) == [7]
+    got = skew.spread_join(left, right, "k", how, share=0.2, salts=8)
+    want = left.join(right, "k", how)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    wide = skew.spread_join(left, right, "k", how, share=0.2, salts=8).select("k").count()
+    assert wide == want.count()

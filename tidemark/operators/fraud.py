@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.temporal import Moment, epoch_micros, looking_back, moment, span
 from .features import DAY, Feature, add_metadata, build_features, merge_groups
 from .ordered import latest_per_key
+from .skew import spread_join
 
 HOUR = timedelta(hours=1)
 
@@ -58,7 +59,7 @@ def new_device_flags(spine: DataFrame, behavior: DataFrame, as_of: Moment, devic
         behavior.filter((F.col("event_time") < a) & F.col(device).isNotNull())
         .groupBy(device).agg(F.min("event_time").alias("__first"))
     )
-    joined = spine.join(seen, device, "left")
+    joined = spread_join(spine, seen, device)
     return joined.withColumn("is_new_device", F.coalesce(F.col("__first") >= a - span(90 * DAY), F.lit(True))).drop("__first")
 
 
@@ -91,7 +92,7 @@ def fraud_features(
     order = ["snapshot_time"] + ([profile_tie] if profile_tie else [])
     profile = latest_per_key(snapshots, ["user_id"], order).select("user_id", "account_age_days", "kyc_status", "account_status")
     per_user = users.join(profile, "user_id", "full")
-    out = new_device_flags(spine.select("transaction_id", "user_id", *keep), behavior, as_of).join(per_user, "user_id", "left")
+    out = spread_join(new_device_flags(spine.select("transaction_id", "user_id", *keep), behavior, as_of), per_user, "user_id")
     numeric = [c for c in users.columns if c != "user_id"] + ["account_age_days"]
     out = out.fillna(0, numeric).withColumn("country_change_flag_24h", F.col("country_change_flag_24h") == 1)
     return add_metadata(out, version, a)

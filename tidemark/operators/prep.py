@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import numeric_columns, text_columns
 from .ordered import ranked
+from .skew import spread_join
 
 
 def keep_ids(df: DataFrame, column: str, ids: list | DataFrame | None) -> DataFrame:
@@ -39,13 +40,13 @@ def encode_labels(df: DataFrame, columns: list[str] | None = None, keep: tuple[s
     """Text -> dense integer codes in alphabetical order, missing -> -1.
 
     Codes come from the distinct values: ranked across partitions, joined
-    back by value, so a frequent value is one row on the code side.
+    back by value; rows of a very frequent value are dealt over several tasks.
     """
     out = df
     for c in columns or text_columns(df.schema, keep):
         values = df.select(F.col(c).alias("__v")).filter(F.col("__v").isNotNull()).distinct()
         codes = ranked(values, [("__v", "asc")], rank="__code").select(F.col("__v").alias(c), (F.col("__code") - 1).alias("__code"))
-        out = out.join(codes, c, "left").withColumn(c, F.coalesce("__code", F.lit(-1)).cast("bigint")).drop("__code")
+        out = spread_join(out, codes, c).withColumn(c, F.coalesce("__code", F.lit(-1)).cast("bigint")).drop("__code")
     return out.select(*df.columns)
 
 
