@@ -66,6 +66,10 @@ def test_bm25_against_direct_scores(spark):
     got = rt.bm25_topk(chunks, q, k=5).collect()
     stored = rt.bm25_search(rt.bm25_index(chunks), q, k=5).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, stored))
+    shuffled = rt.bm25_topk(chunks, q, k=5, max_terms=2).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, shuffled))
+    plan = rt.bm25_topk(chunks, q, k=5)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(chunk_id" in plan and "hashpartitioning(query_id" in plan and ", query_id#" not in plan.split("hashpartitioning(chunk_id")[1][:40]
     for i, text in enumerate(queries):
         scores = okapi(docs, text)
         match = [j for j, d in enumerate(docs) if set(d.split()) & set(text.split())]

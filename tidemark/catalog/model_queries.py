@@ -27,8 +27,8 @@ def _training(t: Tables) -> DataFrame:
     return cut(plan.training_table(tables, SAAS_AS_OFS))
 
 
-@query("churn_pipeline", "", None)
-def churn_pipeline(t: Tables) -> DataFrame:
+@query("churn_model_gate", "", None)
+def churn_model_gate(t: Tables) -> DataFrame:
     return plan.train_and_gate(_training(t), CHURN_GATE, "logistic", maxIter=50)["metrics"]
 
 

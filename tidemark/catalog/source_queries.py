@@ -170,8 +170,8 @@ def report_csv(t: Tables) -> DataFrame:
     return rounded(rows.select("stratum", "mae"), "mae", digits=4)
 
 
-@query("answer_pipeline", "", None)
-def answer_pipeline(t: Tables) -> DataFrame:
+@query("answer_modes", "", None)
+def answer_modes(t: Tables) -> DataFrame:
     """Index, ask in every mode, evaluate and gate. Vectors stand for the first chunk of the document of the same number."""
     box = st.IndexStore(t.spark, scratch_path(t.spark, "rag"))
     plan.build_index(_docs(t).withColumnRenamed("text", "content"), box, "v1", "2024-01-01 00:00:00")

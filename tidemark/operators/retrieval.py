@@ -36,14 +36,18 @@ def term_table(chunks: DataFrame, text: str = "content") -> DataFrame:
 
 
 def postings(chunks: DataFrame, chunk_id: str = "chunk_id", text: str = "content", only: DataFrame | None = None) -> DataFrame:
-    """(term, chunk_id, tf, dl); ``only`` restricts to the given terms before counting."""
+    """(chunk_id, dl, term, tf); ``only`` restricts to the given terms before counting.
+
+    Tokens move once, keyed by chunk, and the result stays laid out by chunk:
+    scores per (query, chunk) need no further shuffle.
+    """
     # The length travels inside the exploded entries: beside an explode it would be recomputed per token.
     tokens = chunks.select(F.col(chunk_id).alias("chunk_id"), split_words(text).alias("w"))
     entries = F.transform("w", lambda x: F.struct(x.alias("term"), F.size("w").alias("dl")))
     rows = tokens.select("chunk_id", F.inline(entries))
     if only is not None:
         rows = rows.join(only.select("term"), "term", "left_semi")
-    return rows.groupBy("chunk_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return rows.repartition("chunk_id").groupBy("chunk_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def bm25_index(chunks: DataFrame, chunk_id: str = "chunk_id", text: str = "content") -> dict[str, DataFrame]:
@@ -57,27 +61,40 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", query: str = "qu
 
 
 def bm25_search(
-    index: dict[str, DataFrame], queries: DataFrame, k: int = TOP_K, query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B
+    index: dict[str, DataFrame], queries: DataFrame, k: int = TOP_K, query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B,
+    by_chunk: bool = False, max_terms: int = 500_000,
 ) -> DataFrame:
-    """(query_id, chunk_id, score, rank); repeated query terms count repeatedly; chunks without a match are not returned."""
+    """(query_id, chunk_id, score, rank); repeated query terms count repeatedly; chunks without a match are not returned.
+
+    With up to ``max_terms`` (query, term) rows the query side goes to the
+    postings, which are laid out by chunk (``by_chunk`` says they already are):
+    the far larger set of (query, chunk, term) matches is never shuffled.
+    Beyond that the join shuffles on the term.
+    """
     wanted = query_terms(queries, query_id, query)
-    weighted = wanted.join(index["terms"].select("term", "idf"), "term")
+    small = within(wanted, max_terms)
+    weighted = index["terms"].select("term", "idf").join(F.broadcast(wanted) if small else wanted, "term")
     avgdl = index["stats"].select("avgdl").scalar()
-    hits = index["postings"].join(weighted, "term")
+    rows = index["postings"]
+    if small and not by_chunk:
+        rows = rows.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi").repartition("chunk_id")
+    hits = rows.join(F.broadcast(weighted) if small else weighted, "term")
     tf, dl = F.col("tf").cast("double"), F.col("dl").cast("double")
     part = F.col("qtf") * F.col("idf") * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * dl / avgdl))
-    scores = hits.groupBy("query_id", "chunk_id").agg(F.round(F.sum(part), 10).alias("score"))
+    scores = hits.groupBy("chunk_id", "query_id").agg(F.round(F.sum(part), 10).alias("score"))
     return top_k(scores, ["query_id"], [("score", "desc"), ("chunk_id", "asc")], k)
 
 
 def bm25_topk(
     chunks: DataFrame, queries: DataFrame, k: int = TOP_K, chunk_id: str = "chunk_id", text: str = "content",
-    query_id: str = "query_id", query: str = "query",
+    query_id: str = "query_id", query: str = "query", max_terms: int = 500_000,
 ) -> DataFrame:
-    """Search without a stored index: only postings of the asked terms are ever shuffled."""
+    """Search without a stored index: only tokens of the asked terms are ever shuffled."""
     asked = query_terms(queries, query_id, query).select("term").distinct()
+    if within(asked, max_terms):
+        asked = F.broadcast(asked)
     index = {"postings": postings(chunks, chunk_id, text, asked), "terms": term_table(chunks, text), "stats": corpus_stats(chunks, text)}
-    return bm25_search(index, queries, k, query_id, query)
+    return bm25_search(index, queries, k, query_id, query, by_chunk=True, max_terms=max_terms)
 
 
 def within(df: DataFrame, rows: int) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import ordinal
 from ..functions.temporal import (
-    Moment, as_of_array, looking_ahead, moment, overlap_days, overlaps, span, whole_days,
+    Moment, active_at, as_of_array, looking_ahead, moment, overlap_days, overlaps, span, whole_days,
 )
 from .features import Feature, build_features, merge_groups
 from .spine import active_rows, at_risk, attach_as_of
@@ -62,13 +62,7 @@ def saas_features(
 ) -> DataFrame:
     """One row per (account at risk, as_of) with the 13 model features."""
     keys = ["account_id", "as_of_time"]
-    spine = at_risk(subs, "account_id", "start_date", "end_date", as_ofs)
-    groups = [
-        spine.withColumn("__risk", F.lit(1)),
-        _usage(subs, usage, as_ofs),
-        _contracts(subs, as_ofs, tie),
-        _support(tickets, as_ofs),
-    ]
+    groups = [_usage(subs, usage, as_ofs), _contracts(subs, as_ofs, tie), _support(tickets, as_ofs)]
     merged = merge_groups(groups, keys).filter("__risk = 1").drop("__risk")
     counts = [
         "active_days_30d", "sessions_7d", "core_feature_cnt_14d", "price_change_flag", "tickets_30d",
@@ -76,9 +70,9 @@ def saas_features(
     ]
     merged = merged.fillna(0, counts).fillna(999, ["recency_days"])
     # An account at risk always has a contract; the account table only backs a contract without a plan.
-    backup = accounts.select("account_id", F.col("plan_tier").alias("__account_plan"))
+    backup = accounts.select("account_id", ordinal("plan_tier", PLAN_CODES, 0).alias("__account_plan"))
     merged = merged.join(backup, "account_id", "left")
-    plan = ordinal(F.coalesce("plan_tier", "__account_plan"), PLAN_CODES, 0)
+    plan = F.coalesce("plan_tier", "__account_plan", F.lit(0))
     return merged.select(
         *keys, "active_days_30d", "sessions_7d", "core_feature_cnt_14d",
         F.lit(0).alias("payment_fail_30d"), "price_change_flag", F.lit(0).alias("discount_used_90d"),
@@ -124,6 +118,7 @@ def _usage(subs: DataFrame, usage: DataFrame, as_ofs: list[Moment]) -> DataFrame
 
 
 def _contracts(subs: DataFrame, as_ofs: list[Moment], tie: str) -> DataFrame:
+    """Contract features and, from the same rows, whether the account is at risk (``__risk``)."""
     started = F.filter(as_of_array(as_ofs), lambda a: F.col("start_date") <= a)
     rows = subs.withColumn("as_of_time", F.explode(started))
     a = F.col("as_of_time")
@@ -135,7 +130,8 @@ def _contracts(subs: DataFrame, as_ofs: list[Moment], tie: str) -> DataFrame:
     return rows.groupBy("account_id", "as_of_time").agg(
         F.max((fresh & changed).cast("int")).alias("price_change_flag"),
         (F.sum(revenue) / 90).alias("avg_revenue_90d"),
-        F.max_by("plan_tier", F.struct("start_date", tie)).alias("plan_tier"),
+        F.max_by(F.when(F.col("plan_tier").isNotNull(), ordinal("plan_tier", PLAN_CODES, 0)), F.struct("start_date", tie)).alias("plan_tier"),
+        F.max(active_at("start_date", "end_date", a).cast("int")).alias("__risk"),
     )
 
 

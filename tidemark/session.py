@@ -22,6 +22,7 @@ def local_session(app: str = "tidemark", cores: str = "8", shuffle_partitions: i
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
