@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import finite
-from ..functions.temporal import Moment, lenient_time, looking_back, moment
+from ..functions.temporal import Moment, lenient_time, moment
 from ..operators.ordered import latest_per_key
 from ..operators.prep import keep_ids
 from . import schemas
