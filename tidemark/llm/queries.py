@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, pfor, sharding
+from . import mixing, packing, pfor, quality, sharding, sketch
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -35,6 +35,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_length")
 
 
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality", quality.ORACLE_SQL)
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.measure(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query("op9_token_ids")
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.digest(table(spark, sf_dir, "documents"), vocabulary(TOKENIZER))
