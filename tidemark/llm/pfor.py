@@ -93,7 +93,7 @@ class TokenFile:
         system.create_dir(path, recursive=True)
         name = fresh_name(f"ids-{part:06d}-{seq:04d}", ".tpf")
         self.uri, self.part, self.seq = f"{folder.rstrip('/')}/{name}", part, seq
-        self.out = system.open_output_stream(f"{path.rstrip('/')}/{name}")
+        self.out = system.open_output_stream(f"{path.rstrip('/')}/{name}", compression=None)
         self.out.write(MAGIC)
         self.at, self.starts, self.rest = len(MAGIC), [], np.empty(0, np.uint32)
         self.docs: list[np.ndarray] = []

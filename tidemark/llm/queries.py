@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, pfor, quality, sharding, sketch
+from . import mixing, packing, pfor, quality, sharding, sketch, warc
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -46,6 +46,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op8_warc", warc.ORACLE_SQL)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op9_token_ids")
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.digest(table(spark, sf_dir, "documents"), vocabulary(TOKENIZER))
