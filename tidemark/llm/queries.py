@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, pfor, quality, sharding, sketch, warc
+from . import mixing, packing, pfor, quality, sharding, simhash, sketch, warc
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -40,6 +40,12 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 @query("op7_quality", quality.ORACLE_SQL)
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.measure(table(spark, sf_dir, "documents"))
