@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, pfor, quality, sharding, simhash, sketch, warc
+from . import extract, mixing, packing, pfor, quality, sharding, simhash, sketch, warc
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -46,6 +46,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query("op5_main_text")
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_quality", quality.ORACLE_SQL)
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.measure(table(spark, sf_dir, "documents"))
