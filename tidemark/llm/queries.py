@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import extract, mixing, packing, pfor, quality, sharding, simhash, sketch, warc
+from . import extract, mixing, packing, pfor, quality, sharding, simhash, sketch, suffix, warc
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -51,6 +51,12 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op6_suffix_arrays")
+def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix.deduplicated(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op7_quality", quality.ORACLE_SQL)
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.measure(table(spark, sf_dir, "documents"))
