@@ -30,7 +30,7 @@ BLOCK = 512
 HEAD = 8
 END_ID = 1
 MANIFEST = "part int, seq int, path string, n_docs bigint, n_ids bigint"
-ROWS = "doc_id bigint, part int, seq int, file_start bigint, n_tokens bigint, ids binary"
+ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
 
 def encode_blocks(values: np.ndarray, percentile: float = 0.9) -> list[bytes]:
@@ -195,35 +195,26 @@ def file_parts(path: str, step: int = 1 << 21) -> Iterator[tuple[pa.Array, np.nd
 def read_ids(manifest: DataFrame, partitions: int | None = None) -> DataFrame:
     """Every document of the listed files: ``ROWS`` with the ids as little-endian unsigned 32-bit integers.
 
-    ``file_start`` counts the ids before the document in its file.
+    ``start`` counts the ids of all documents before; it is a running sum over
+    the manifest, which has one row a file.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, seq, path in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                before = 0
+            for path, before in zip(*(batch.column(i).to_pylist() for i in range(2))):
                 for docs, lengths, ids in file_parts(path):
-                    n = len(lengths)
                     offsets = np.concatenate([[0], np.cumsum(lengths)])
-                    blob = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
-                    yield pa.RecordBatch.from_arrays(
-                        [docs, pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seq, np.int32)), pa.array(before + offsets[:-1]), pa.array(lengths), blob],
-                        names=["doc_id", "part", "seq", "file_start", "n_tokens", "ids"],
-                    )
-                    before += int(lengths.sum())
-
-    files = manifest.select("part", "seq", "path")
+                    blob = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+                    yield pa.RecordBatch.from_arrays([docs, pa.array(before + offsets[:-1]), pa.array(lengths), blob], names=["doc_id", "start", "n_tokens", "ids"])
+                    before += int(offsets[-1])
+
+    files = prefix_sum(manifest, [("part", "asc"), ("seq", "asc")], {"n_ids": "upto"}, partitions=1)
+    files = files.select("path", (F.col("upto") - F.col("n_ids")).alias("before"))
     return files.repartition(partitions or shuffle_width(manifest.sparkSession), "path").mapInArrow(read, ROWS)
 
 
 def digest(docs: DataFrame, vocabulary: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Write, read back, and say where every document lies in the whole stream and what its ids' checksum is."""
     folder = folder or scratch_path(docs.sparkSession, "token-ids")
-    manifest = write_ids(docs, folder, vocabulary, end_id)
-    # One row a file; the ids before each file.
-    files = prefix_sum(manifest, [("part", "asc"), ("seq", "asc")], {"n_ids": "upto"}, partitions=1).select(
-        F.col("part").alias("f_part"), F.col("seq").alias("f_seq"), (F.col("upto") - F.col("n_ids")).alias("before")
-    )
-    rows = read_ids(manifest).select("doc_id", "part", "seq", "file_start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-    joined = rows.join(files, (rows.part == files.f_part) & (rows.seq == files.f_seq))
-    return joined.select("doc_id", (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
+    rows = read_ids(write_ids(docs, folder, vocabulary, end_id))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
