@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import temporal as tp
-from tidemark.operators import asof, saas, spine
+from tidemark.operators import asof, fraud, saas, spine
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -98,3 +98,17 @@ def test_labels_with_open_contracts_and_missing_billing(spark):
     assert churn == {"a": 1, "b": 1}  # c ended exactly at as_of, d has not started
     ltv = {r.account_id: round(r.ltv_90d, 6) for r in saas.ltv_labels(subs, [AS_OF]).collect()}
     assert ltv == {"a": 90.0, "b": 0.0}
+
+
+def test_per_event_velocity_of_one_busy_hour_is_linear(spark):
+    import time
+
+    n = 100_000
+    rows = spark.range(n).select(
+        F.lit(1).alias("u"), F.col("id"), (F.timestamp_seconds(F.lit(1_700_000_000 - 1_700_000_000 % 3600) + F.col("id") * 0.03)).cast("timestamp_ntz").alias("ts"), F.lit(2.0).alias("v")
+    )
+    begin = time.time()
+    out = fraud.velocity_per_event(rows, "u", "ts", "v", "id", {"1h": timedelta(hours=1)})
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    assert out.agg(F.sum("count_1h")).first()[0] == n * (n - 1) // 2
+    assert time.time() - begin < 30

@@ -142,12 +142,12 @@ _CONTRIB = " UNION ALL ".join(
     f"""WITH l AS (SELECT *, concat(cast(l_orderkey AS string), '_', cast(l_linenumber AS string), '_', cast(l_partkey AS string), '_', cast(l_suppkey AS string), '_', cast(l_shipdate AS string)) AS id FROM lineitem), {_MEANS},
       c AS ({_CONTRIB.replace('l_orderkey, l_linenumber, l_partkey', 'id').replace('FROM lineitem, m', 'FROM l, m')})
       SELECT feature, rank, count(*) AS n, round(sum(contribution), 4) AS total FROM
-        (SELECT *, row_number() OVER (PARTITION BY id ORDER BY abs(contribution) DESC, feature) AS rank FROM c) WHERE rank <= 3 GROUP BY ALL""",
+        (SELECT *, row_number() OVER (PARTITION BY id ORDER BY abs(contribution) DESC, feature) AS rank FROM c) WHERE rank <= 10 GROUP BY ALL""",
 )
 def row_contributions(t: Tables) -> DataFrame:
     id_parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
     rows = t.lineitem.withColumn("id", F.concat_ws("_", *[F.col(c).cast("string") for c in id_parts]))
-    out = ex.explain_rows(rows, "id", list(_COEF), _COEF, ex.feature_means(t.lineitem, list(_COEF)), top=3)
+    out = ex.explain_rows(rows, "id", list(_COEF), _COEF, ex.feature_means(t.lineitem, list(_COEF)))
     return out.groupBy("feature", "rank").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("contribution"), 4).alias("total"))
 
 

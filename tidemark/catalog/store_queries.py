@@ -14,22 +14,24 @@ _NOW = "2024-01-31 06:00:00"
 _TTL = 36 * 3600
 
 
+_GENERATIONS = (("2024-01-16 00:00:00", "fs_v1"), ("2024-01-24 00:00:00", "fs_v1"), ("2024-01-31 00:00:00", "fs_v2"))
+
+
 def _generations(t: Tables) -> list[DataFrame]:
-    """Per-user spend as materialised at three times; later ones replace earlier ones."""
+    """Per-user history as materialised at three times; the second replaces the first, the third is another version."""
     out = []
-    for at in ("2024-01-16 00:00:00", "2024-01-24 00:00:00", "2024-01-31 00:00:00"):
-        seen = t.events.filter((F.col("ts") < moment(at)) & (F.col("ts") >= moment(at) - F.expr("INTERVAL 12 HOUR")))
-        rows = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("event_time"))
-        out.append(st.to_online(rows, "churn", "fs_v1", "user_id", at, _TTL))
+    for at, version in _GENERATIONS:
+        rows = t.events.filter(F.col("ts") < moment(at)).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("event_time"))
+        out.append(st.to_online(rows, "churn", version, "user_id", at, _TTL))
     return out
 
 
-def _generation_sql(at: str) -> str:
-    return f"""SELECT 'churn' AS domain, concat('user_id:', cast(user_id AS string)) AS entity_key, 'fs_v1' AS feature_set_version, count(*) AS n, max(ts) AS event_time,
-      TIMESTAMP '{at}' AS materialized_at, CAST({_TTL} AS BIGINT) AS ttl_seconds FROM events WHERE ts < TIMESTAMP '{at}' AND ts >= TIMESTAMP '{at}' - INTERVAL 12 HOUR GROUP BY user_id"""
+def _generation_sql(at: str, version: str) -> str:
+    return f"""SELECT 'churn' AS domain, concat('user_id:', cast(user_id AS string)) AS entity_key, '{version}' AS feature_set_version, count(*) AS n, max(ts) AS event_time,
+      TIMESTAMP '{at}' AS materialized_at, CAST({_TTL} AS BIGINT) AS ttl_seconds FROM events WHERE ts < TIMESTAMP '{at}' GROUP BY user_id"""
 
 
-_STORE = "gens AS (" + " UNION ALL ".join(_generation_sql(a) for a in ("2024-01-16 00:00:00", "2024-01-24 00:00:00", "2024-01-31 00:00:00")) + """),
+_STORE = "gens AS (" + " UNION ALL ".join(_generation_sql(*g) for g in _GENERATIONS) + """),
   store AS (SELECT * FROM gens QUALIFY row_number() OVER (PARTITION BY domain, entity_key, feature_set_version ORDER BY materialized_at DESC) = 1)"""
 
 
@@ -50,7 +52,7 @@ def ttl_expire(t: Tables) -> DataFrame:
 @query(
     "online_lookup", "events",
     f"""WITH {_STORE}, req AS (SELECT DISTINCT concat('user_id:', cast(user_id AS string)) AS entity_key FROM events)
-      SELECT entity_key, s.n, s.event_time FROM req LEFT JOIN (SELECT * FROM store WHERE NOT materialized_at + INTERVAL 200 HOUR < TIMESTAMP '{_NOW}') s USING (entity_key)""",
+      SELECT entity_key, s.n, s.event_time FROM req LEFT JOIN (SELECT * FROM store WHERE feature_set_version = 'fs_v1' AND NOT materialized_at + INTERVAL 200 HOUR < TIMESTAMP '{_NOW}') s USING (entity_key)""",
 )
 def online_lookup(t: Tables) -> DataFrame:
     asked = t.events.select(F.concat(F.lit("user_id:"), F.col("user_id").cast("string")).alias("entity_key")).distinct()
@@ -195,12 +197,12 @@ def _churn_scorer(df: DataFrame) -> DataFrame:
 
 @query(
     "batch_score_churn", "events",
-    f"""WITH {_STORE}, live AS (SELECT * FROM store WHERE NOT materialized_at + to_seconds(ttl_seconds) < TIMESTAMP '{_NOW}')
+    f"""WITH {_STORE}, live AS (SELECT * FROM store WHERE feature_set_version = 'fs_v2' AND NOT materialized_at + to_seconds(ttl_seconds) < TIMESTAMP '{_NOW}')
       SELECT 'job2' AS job_id, (SELECT count(DISTINCT user_id) FROM events) AS total, (SELECT count(*) FROM live) AS succeeded,
         (SELECT count(DISTINCT user_id) FROM events) - (SELECT count(*) FROM live) AS failed""",
 )
 def batch_score_churn(t: Tables) -> DataFrame:
     requests = t.events.select("user_id").distinct()
     store = st.merge_online(*_generations(t))
-    out = scoring.score_churn(requests, store, _churn_scorer, "n bigint", al.DEFAULT_OFFERS, 500.0, _NOW, "job2", "fs_v1")
+    out = scoring.score_churn(requests, store, _churn_scorer, "n bigint", al.DEFAULT_OFFERS, 500.0, _NOW, "job2", "fs_v2")
     return out["summary"]

@@ -142,7 +142,8 @@ def velocity_per_event(
     rows = own.unionByName(shifted, allowMissingColumns=True).unionByName(seeds, allowMissingColumns=True)
     hour = Window.partitionBy("e", "h").orderBy("t")
     before = hour.rangeBetween(Window.unboundedPreceding, -1)
-    after = hour.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # From this row to the hour's end, as a growing frame: each row is added once.
+    after = Window.partitionBy("e", "h").orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     mine = F.col("kind") == "own"
     cols: dict[str, Column] = {
         "__n": F.count(F.when(mine, 1)).over(before),

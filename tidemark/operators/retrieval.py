@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import split_words
+from ..session import cut
 from .ordered import top_k
 
 # BM25 constants, the floor share for negative idf, hybrid weights and sizes.
@@ -24,19 +25,23 @@ def corpus_stats(chunks: DataFrame, text: str = "content") -> DataFrame:
     return chunks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(split_words(F.coalesce(F.col(text), F.lit(""))))).alias("avgdl"))
 
 
-def term_table(chunks: DataFrame, text: str = "content") -> DataFrame:
-    """(term, df, idf) over the whole vocabulary; negative idf becomes a share of the mean idf."""
-    terms = chunks.select(F.explode(F.array_distinct(split_words(text))).alias("term"))
-    df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = corpus_stats(chunks, text).select("n").scalar()
-    raw = df.withColumn("raw", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+def _idf(counts: DataFrame, n: Column) -> DataFrame:
+    """(term, df, idf) from document frequencies; a negative idf becomes a share of the mean idf."""
+    raw = counts.withColumn("raw", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     mean = raw.agg(F.avg("raw")).scalar()
     idf = F.when(F.col("raw") < 0, F.lit(IDF_FLOOR) * mean).otherwise(F.col("raw"))
     return raw.select("term", "df", idf.alias("idf"))
 
 
-def postings(chunks: DataFrame, chunk_id: str = "chunk_id", text: str = "content", only: DataFrame | None = None) -> DataFrame:
-    """(chunk_id, dl, term, tf); ``only`` restricts to the given terms before counting.
+def term_table(chunks: DataFrame, text: str = "content") -> DataFrame:
+    """(term, df, idf) over the whole vocabulary."""
+    terms = chunks.select(F.explode(F.array_distinct(split_words(text))).alias("term"))
+    counts = cut(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return _idf(counts, corpus_stats(chunks, text).select("n").scalar())
+
+
+def postings(chunks: DataFrame, chunk_id: str = "chunk_id", text: str = "content") -> DataFrame:
+    """(chunk_id, dl, term, tf).
 
     Tokens move once, keyed by chunk, and the result stays laid out by chunk:
     scores per (query, chunk) need no further shuffle.
@@ -45,14 +50,19 @@ def postings(chunks: DataFrame, chunk_id: str = "chunk_id", text: str = "content
     tokens = chunks.select(F.col(chunk_id).alias("chunk_id"), split_words(text).alias("w"))
     entries = F.transform("w", lambda x: F.struct(x.alias("term"), F.size("w").alias("dl")))
     rows = tokens.select("chunk_id", F.inline(entries))
-    if only is not None:
-        rows = rows.join(only.select("term"), "term", "left_semi")
     return rows.repartition("chunk_id").groupBy("chunk_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def bm25_index(chunks: DataFrame, chunk_id: str = "chunk_id", text: str = "content") -> dict[str, DataFrame]:
-    """postings, terms and stats tables, ready to be written and searched later."""
-    return {"postings": postings(chunks, chunk_id, text), "terms": term_table(chunks, text), "stats": corpus_stats(chunks, text)}
+    """postings, terms and stats tables, ready to be written and searched later.
+
+    The corpus is tokenised once for the postings, which are written; the
+    terms are counted from them, and the lengths take a second scan.
+    """
+    rows = cut(postings(chunks, chunk_id, text))
+    stats = cut(corpus_stats(chunks, text))
+    counts = cut(rows.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return {"postings": rows, "terms": _idf(counts, stats.select("n").scalar()), "stats": stats}
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", query: str = "query") -> DataFrame:
@@ -89,12 +99,8 @@ def bm25_topk(
     chunks: DataFrame, queries: DataFrame, k: int = TOP_K, chunk_id: str = "chunk_id", text: str = "content",
     query_id: str = "query_id", query: str = "query", max_terms: int = 500_000,
 ) -> DataFrame:
-    """Search without a stored index: only tokens of the asked terms are ever shuffled."""
-    asked = query_terms(queries, query_id, query).select("term").distinct()
-    if within(asked, max_terms):
-        asked = F.broadcast(asked)
-    index = {"postings": postings(chunks, chunk_id, text, asked), "terms": term_table(chunks, text), "stats": corpus_stats(chunks, text)}
-    return bm25_search(index, queries, k, query_id, query, by_chunk=True, max_terms=max_terms)
+    """Search without a stored index."""
+    return bm25_search(bm25_index(chunks, chunk_id, text), queries, k, query_id, query, max_terms=max_terms)
 
 
 def within(df: DataFrame, rows: int) -> bool:
@@ -112,21 +118,23 @@ def dense_topk(
     query_vector: str = "vector",
     metric: str = "dot",
     max_queries: int = 4096,
-    block_rows: int = 65536,
+    block_rows: int = 8192,
+    max_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Exact nearest vectors by dot product or cosine: (query_id, chunk_id, score, rank).
 
-    Up to ``max_queries`` queries go to every task as one matrix; a task
-    multiplies batch by batch and keeps its own best k per query.  Beyond that
-    both sides are cut into blocks which meet in one shuffle, each pair of
-    blocks again keeping only its best k.
+    Up to ``max_queries`` queries of ``max_bytes`` in all go to every task as
+    one matrix; a task multiplies slice by slice and keeps its own best k per
+    query.  Beyond that both sides are cut into blocks which meet in one
+    shuffle, each pair of blocks again keeping only its best k.
     """
     id_type = corpus.schema[vector_id].dataType.simpleString()
     q_type = queries.schema[query_id].dataType.simpleString()
     schema = f"query_id {q_type}, chunk_id {id_type}, score double"
     left = corpus.select(F.col(vector_id).alias("chunk_id"), F.col(vector).alias("v")).filter(F.col("v").isNotNull())
     right = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("v")).filter(F.col("v").isNotNull())
-    if within(right, max_queries):
+    asked = right.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("cells")).first()
+    if asked["n"] <= max_queries and 8 * asked["cells"] <= max_bytes:
         found = _dense_small(left, right, k, metric, schema)
     else:
         found = _dense_blocks(left, right, k, metric, schema, max_queries, block_rows)
@@ -143,19 +151,29 @@ def _matrix(values, metric: str):
     return m
 
 
-def _best(q_ids, q_matrix, ids, vectors, k: int, metric: str):
-    """Top-k rows of one block of vectors for every query, ties by id."""
+def _best(q_ids, q_matrix, ids, vectors, k: int, metric: str, rows: int = 2048):
+    """Top-k rows of one block of vectors for every query, ties by id; memory holds the scores of ``rows`` vectors."""
     import numpy as np
     import pandas as pd
 
-    scores = np.round(q_matrix @ _matrix(vectors, metric).T, 10)
     order = np.argsort(ids, kind="stable")
-    ids, scores = ids[order], scores[:, order]
-    keep = min(k, len(ids))
-    best = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
-    return pd.DataFrame(
-        {"query_id": np.repeat(q_ids, keep), "chunk_id": ids[best].ravel(), "score": np.take_along_axis(scores, best, axis=1).ravel()}
-    )
+    vectors = list(vectors)
+    held_ids = np.empty((len(q_ids), 0), ids.dtype)
+    held = np.empty((len(q_ids), 0))
+    for a in range(0, len(order), rows):
+        some = order[a : a + rows]
+        scores = np.round(q_matrix @ _matrix([vectors[i] for i in some], metric).T, 10)
+        scores = np.concatenate([held, scores], axis=1)
+        names = np.concatenate([held_ids, np.broadcast_to(ids[some], (len(q_ids), len(some)))], axis=1)
+        keep = min(k, scores.shape[1])
+        # All that reach the k-th best score, ties included; then the first k of them by score and id.
+        least = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
+        at, column = np.nonzero(scores >= least[:, None])
+        first = np.lexsort((column, -scores[at, column], at))
+        place = np.arange(len(first)) - np.searchsorted(at[first], at[first])
+        first = first[place < keep]
+        held, held_ids = scores[at[first], column[first]].reshape(-1, keep), names[at[first], column[first]].reshape(-1, keep)
+    return pd.DataFrame({"query_id": np.repeat(q_ids, held.shape[1]), "chunk_id": held_ids.ravel(), "score": held.ravel()})
 
 
 def _dense_small(left: DataFrame, right: DataFrame, k: int, metric: str, schema: str) -> DataFrame:
@@ -200,83 +218,57 @@ def _dense_blocks(left: DataFrame, right: DataFrame, k: int, metric: str, schema
     return a.groupBy("qb", "vb").cogroup(b.groupBy("qb", "vb")).applyInPandas(run, schema)
 
 
-def phrase_hits(
-    chunks: DataFrame, phrases: DataFrame, chunk_id: str = "chunk_id", text: str = "content", phrase: str = "phrase",
-    lower: bool = False, block: int = 50_000, block_chars: int = 16_000_000, text_rows: int = 20_000,
-) -> DataFrame:
-    """(chunk_id, phrase): phrases contained in a text as a substring, each pair once.
-
-    A task scans each text once for all phrases with a multi-pattern
-    automaton, so the cost follows the text and its hits, not texts x phrases.
-    Phrases whose number and length are within the bounds are sent to the
-    tasks; beyond that both sides are cut into blocks that meet in one shuffle.
-    """
-    body = F.lower(F.col(text)) if lower else F.col(text)
-    words = phrases.select(F.col(phrase).alias("phrase")).filter(F.length("phrase") > 0).distinct()
-    rows = chunks.select(F.col(chunk_id).alias("chunk_id"), body.alias("body")).filter(F.col("body").isNotNull())
-    schema = f"chunk_id {chunks.schema[chunk_id].dataType.simpleString()}, phrase string"
-    size = words.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("phrase")), F.lit(0)).alias("chars")).first()
-    if size["n"] == 0:
-        return chunks.sparkSession.createDataFrame([], schema)
-    if size["n"] <= block and size["chars"] <= block_chars:
-        shared = chunks.sparkSession.sparkContext.broadcast([r["phrase"] for r in words.collect()])
-
-        def run(batches):
-            machine = _automaton(shared.value)
-            for batch in batches:
-                yield _scan(machine, batch["chunk_id"], batch["body"])
-
-        return rows.mapInPandas(run, schema)
-
-    phrase_blocks = max(math.ceil(size["n"] / block), math.ceil(size["chars"] / block_chars))
-    text_blocks = max(1, math.ceil(rows.count() / text_rows))
-    a = words.withColumn("pb", F.pmod(F.xxhash64("phrase"), F.lit(phrase_blocks)).cast("int")).withColumn("tb", _copies(text_blocks))
-    b = rows.withColumn("tb", F.pmod(F.xxhash64("chunk_id"), F.lit(text_blocks)).cast("int")).withColumn("pb", _copies(phrase_blocks))
-
-    def meet(_, some_phrases, texts):
-        import pandas as pd
-
-        if len(some_phrases) == 0 or len(texts) == 0:
-            return pd.DataFrame({"chunk_id": [], "phrase": []})
-        return _scan(_automaton(list(some_phrases["phrase"])), texts["chunk_id"], texts["body"])
-
-    return a.groupBy("pb", "tb").cogroup(b.groupBy("pb", "tb")).applyInPandas(meet, schema)
-
-
 def _copies(n: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
 
-def _automaton(phrases: list[str]):
-    import ahocorasick
+def _grams(token: Column) -> Column:
+    """All substrings of one to three characters."""
 
-    machine = ahocorasick.Automaton()
-    for p in phrases:
-        machine.add_word(p, p)
-    machine.make_automaton()
-    return machine
+    def of(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.length(token) - n + 1)
+        return F.when(F.length(token) >= n, F.transform(places, lambda i: F.substring(token, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
 
+    return F.array_distinct(F.concat(of(1), of(2), of(3)))
 
-def _scan(machine, ids, bodies):
-    import pandas as pd
 
-    out_ids, out_phrases = [], []
-    for i, text in zip(ids, bodies):
-        found = {p for _, p in machine.iter(text)}
-        out_ids.extend([i] * len(found))
-        out_phrases.extend(found)
-    return pd.DataFrame({"chunk_id": pd.Series(out_ids, dtype=ids.dtype), "phrase": pd.Series(out_phrases, dtype=object)})
+def phrase_hits(
+    chunks: DataFrame, phrases: DataFrame, chunk_id: str = "chunk_id", text: str = "content", phrase: str = "phrase", lower: bool = False
+) -> DataFrame:
+    """(chunk_id, phrase): phrases contained in a text as a substring, each pair once.
+
+    A phrase's longest word lies inside one token of any text that has the
+    phrase.  Distinct tokens that contain such a word are found by an equi
+    join on one of its three-character grams; they lead to the texts, which
+    are searched for the whole phrase only then.  A phrase of white space
+    alone has no word and no hits.
+    """
+    body = F.lower(F.col(text)) if lower else F.col(text)
+    rows = chunks.select(F.col(chunk_id).alias("chunk_id"), body.alias("body")).filter(F.col("body").isNotNull())
+    words = phrases.select(F.col(phrase).alias("phrase")).filter(F.length("phrase") > 0).distinct()
+    longest = F.array_max(F.transform(split_words("phrase"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    asked = words.withColumn("piece", longest).filter(F.col("piece").isNotNull())
+    size = F.length("piece")
+    middle = F.when(size < 3, F.col("piece")).otherwise(F.substring(F.col("piece"), F.floor((size - 3) / 2).cast("int") + 1, F.lit(3)))
+    pieces = asked.select("piece", middle.alias("gram")).distinct()
+    tokens = rows.select("chunk_id", F.explode(F.array_distinct(split_words("body"))).alias("token"))
+    vocabulary = tokens.select("token").distinct().select("token", F.explode(_grams(F.col("token"))).alias("gram"))
+    holds = vocabulary.join(pieces, "gram").filter(F.contains("token", "piece")).select("token", "piece")
+    near = tokens.join(holds, "token").select("chunk_id", "piece").distinct().join(asked, "piece")
+    whole = near.filter("phrase = piece").select("chunk_id", "phrase")
+    longer = near.filter("phrase <> piece").join(rows, "chunk_id").filter(F.contains("body", "phrase")).select("chunk_id", "phrase")
+    return whole.unionByName(longer)
 
 
 def keyword_topk(
     chunks: DataFrame, queries: DataFrame, k: int = TOP_K, chunk_id: str = "chunk_id", text: str = "content",
-    query_id: str = "query_id", query: str = "query", **tuning,
+    query_id: str = "query_id", query: str = "query",
 ) -> DataFrame:
     """Score = number of distinct lower-cased query words contained in the lower-cased text; only positive scores."""
     words = queries.select(
         F.col(query_id).alias("query_id"), F.explode(F.array_distinct(split_words(F.lower(F.col(query))))).alias("phrase")
     )
-    hits = phrase_hits(chunks, words, chunk_id, text, lower=True, **tuning)
+    hits = phrase_hits(chunks, words, chunk_id, text, lower=True)
     scores = hits.join(words, "phrase").groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
     return top_k(scores, ["query_id"], [("score", "desc"), ("chunk_id", "asc")], k)
 

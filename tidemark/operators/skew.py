@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 def hot_keys(df: DataFrame, key: str, share: float = 0.02) -> list:
     """Keys holding more than ``share`` of the rows: at most 1/share values.
 
-    One map-side-combined count per key; only the few hot values are read back.
+    One pass: counts per key and their total come from one grouping, and only
+    the largest few are read back.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return [r[0] for r in counts.filter(F.col("__n") > total * F.lit(share)).select(key).collect()]
+    counts = df.rollup(key).agg(F.count(F.lit(1)).alias("__n"), F.grouping(key).alias("__all"))
+    top = counts.orderBy(F.desc("__all"), F.desc("__n")).limit(int(1 / share) + 2).collect()
+    total = next((r["__n"] for r in top if r["__all"]), 0)
+    return [r[key] for r in top if not r["__all"] and r[key] is not None and r["__n"] > total * share]
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = 0.02, salts: int = 64) -> DataFrame:

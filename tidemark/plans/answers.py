@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.temporal import Moment
 from ..operators import answers, gates, metrics, retrieval, text
+from ..session import cut
 from ..sources.store import IndexStore
 
 
 def build_index(blocks: DataFrame, store: IndexStore, version: str, now: Moment, size: int = 512, overlap: int = 64) -> None:
     """Chunk, then write chunks, postings, terms and stats as one version."""
     chunks = text.chunk(blocks, "source_id", "content", "page" if "page" in blocks.columns else None, size=size, overlap=overlap)
-    parts = retrieval.bm25_index(chunks)
-    store.save(version, chunks, now, tables=parts)
+    chunks = cut(chunks)  # the other tables are derived from what is written, not chunked again
+    store.save(version, chunks, now, tables=retrieval.bm25_index(chunks))
 
 
 def load_index(store: IndexStore, version: str | None = None) -> dict[str, DataFrame]:

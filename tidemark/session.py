@@ -30,8 +30,9 @@ def local_session(app: str = "tidemark", cores: str = "8", shuffle_partitions: i
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where nothing is
-    set (tests, a laptop) a temporary folder is made and set.
+    A cluster names it in ``spark.checkpoint.dir``; without it there is no
+    folder that executors share, and this raises.  Only a local session
+    (tests, a laptop) gets a temporary folder of its own.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
@@ -39,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(made)
     return made
