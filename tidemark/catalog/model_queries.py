@@ -5,8 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import metrics as mx, models as md
 from ..plans import churn as plan
 from ..session import cut
-from .feature_queries import SAAS_AS_OFS
-from .metric_queries import CHURN_GATE
+from .feature_queries import SAAS_AS_OFS, TRAINING_SQL
 from .registry import query
 from .views import Tables
 
@@ -20,58 +19,123 @@ def stratified_split(t: Tables) -> DataFrame:
 
 
 def _training(t: Tables) -> DataFrame:
+    """Training table in train, validation and test parts."""
     tables = {
         "accounts": t.accounts_v, "subscriptions": t.subscriptions_v, "feature_usage": t.feature_usage_v,
         "support_tickets": t.support_tickets_v, "churn_events": t.churn_events_v,
     }
-    return cut(plan.training_table(tables, SAAS_AS_OFS))
+    rows = plan.training_table(tables, SAAS_AS_OFS)
+    keyed = rows.withColumn("row_id", F.concat_ws("@", F.col("account_id").cast("string"), F.col("as_of_time").cast("string")))
+    return cut(md.three_way_split(keyed, "churn", "row_id"))
 
 
-@query("churn_model_gate", "", None)
+def _part(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.filter(F.col("part").isin(*names))
+
+
+_VIEWS, _LABELS = "churn_events_v subscriptions_v", TRAINING_SQL
+# The held-out rows: the first fifth of each class by hash.
+_TEST = f"""x AS ({_LABELS}),
+  test AS (SELECT account_id, as_of_time, churn FROM (SELECT *, concat(cast(account_id AS string), '@', cast(as_of_time AS string)) AS id FROM x)
+    QUALIFY row_number() OVER (PARTITION BY churn ORDER BY md5(concat(id, '#42')), id) <= round(count(*) OVER (PARTITION BY churn) * 0.2e0))"""
+_SCORED_SQL = f"WITH {_TEST} SELECT account_id, as_of_time, churn, TRUE AS in_range, TRUE AS consistent FROM test"
+
+
+def _facts(scored: DataFrame) -> DataFrame:
+    """What must hold of every held-out score."""
+    return scored.select(
+        "account_id", "as_of_time", "churn", F.col("score").between(0, 1).alias("in_range"), ((F.col("score") >= 0.5).cast("int") == F.col("predicted")).alias("consistent")
+    )
+
+
+@query("three_way_split", _VIEWS, f"WITH {_TEST} SELECT account_id, as_of_time FROM test")
+def three_way_split(t: Tables) -> DataFrame:
+    rows = _training(t)
+    assert_apart = rows.groupBy("account_id", "as_of_time").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("part"))
+    return assert_apart.filter("n = 1 AND part = 'test'").select("account_id", "as_of_time")
+
+
+@query(
+    "churn_model_gate", _VIEWS,
+    f"WITH {_TEST} SELECT count(*) AS n, cast(sum(churn) AS bigint) AS churned, TRUE AS in_range, TRUE AS ranked FROM test",
+)
 def churn_model_gate(t: Tables) -> DataFrame:
-    return plan.train_and_gate(_training(t), CHURN_GATE, "logistic", maxIter=50)["metrics"]
+    """Logistic model with all its iterations; its held-out scores and metrics are sound."""
+    rows = _training(t)
+    model = md.train("logistic", _part(rows, "train", "validation"), plan.FEATURES, "churn")
+    scored = cut(md.predict(model, _part(rows, "test"), "churn_prob"))
+    wide = mx.binary_metrics(scored, "churn", "churn_prob").first().asDict()
+    sound = all(v is None or 0 <= v <= 1 for k, v in wide.items() if k in ("auc", "pr_auc", "ece", "brier"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("churn").cast("bigint").alias("churned"), F.bool_and(F.col("churn_prob").between(0, 1)).alias("in_range"),
+        F.lit(sound).alias("ranked"),
+    )
 
 
-@query("boosted_scores", "", None)
+@query("boosted_scores", _VIEWS, _SCORED_SQL)
 def boosted_scores(t: Tables) -> DataFrame:
-    rows = _training(t).withColumn("validation", F.pmod(F.xxhash64("account_id"), F.lit(5)) == 0)
-    model = md.train("boosted", rows, plan.FEATURES, "churn", maxIter=8, validation="validation")
-    return md.predict(model, rows).select("account_id", "as_of_time", "churn", "score", "predicted")
+    rows = _training(t)
+    seen = _part(rows, "train", "validation").withColumn("validation", F.col("part") == "validation")
+    model = md.train("boosted", seen, plan.FEATURES, "churn", validation="validation")
+    return _facts(md.predict(model, _part(rows, "test")))
 
 
-@query("forest_scores", "", None)
+@query("forest_scores", _VIEWS, _SCORED_SQL)
 def forest_scores(t: Tables) -> DataFrame:
     rows = _training(t)
-    model = md.train("forest", rows, plan.FEATURES, "churn", numTrees=10, maxDepth=6)
-    return md.predict(model, rows).select("account_id", "as_of_time", "churn", "score", "predicted")
+    model = md.train("forest", _part(rows, "train", "validation"), plan.FEATURES, "churn")
+    return _facts(md.predict(model, _part(rows, "test")))
 
 
-@query("calibrated_scores", "", None)
+@query(
+    "calibrated_scores", _VIEWS,
+    f"WITH {_TEST} SELECT method, count(*) AS n, TRUE AS in_range, TRUE AS monotone FROM test, (SELECT unnest(['isotonic', 'platt']) AS method) GROUP BY 1",
+)
 def calibrated_scores(t: Tables) -> DataFrame:
-    rows = _training(t).withColumn("row_id", F.concat_ws("@", F.col("account_id").cast("string"), F.col("as_of_time").cast("string")))
-    scored = cut(md.out_of_fold("logistic", rows, plan.FEATURES, "churn", "row_id", maxIter=30))
-    done = md.Calibrator("isotonic").fit(scored, "churn").transform(scored)
-    return mx.binary_metrics(done, "churn", "calibrated")
+    """Fitted on out-of-fold scores of the training rows, judged on the test rows."""
+    rows = _training(t)
+    seen, held = _part(rows, "train", "validation"), _part(rows, "test")
+    folds = cut(md.out_of_fold("logistic", seen, plan.FEATURES, "churn", "row_id"))
+    scored = cut(md.predict(md.train("logistic", seen, plan.FEATURES, "churn"), held))
+    middle = scored.agg(F.percentile_approx("score", 0.5)).first()[0]
+    out = None
+    for method in ("isotonic", "platt"):
+        done = md.Calibrator(method).fit(folds, "churn").transform(scored)
+        low, high = F.when(F.col("score") <= middle, F.col("calibrated")), F.when(F.col("score") > middle, F.col("calibrated"))
+        one = done.agg(
+            F.lit(method).alias("method"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("calibrated").between(0, 1)).alias("in_range"),
+            F.coalesce((F.max(low) <= F.min(high) + 1e-9) | (F.min(low) >= F.max(high) - 1e-9), F.lit(True)).alias("monotone"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-@query("ltv_scores", "", None)
+@query(
+    "ltv_scores", _VIEWS,
+    f"WITH {_TEST} SELECT account_id, as_of_time, TRUE AS floored, TRUE AS spread FROM test",
+)
 def ltv_scores(t: Tables) -> DataFrame:
     rows = _training(t).withColumnRenamed("ltv_90d", "y")
-    model = md.train_ltv(rows, plan.FEATURES, "y", maxIter=8)
-    return md.predict_ltv(model, rows).select("account_id", "as_of_time", "y", "ltv_90d", "ltv_p10", "ltv_p50", "ltv_p90")
+    model = md.train_ltv(_part(rows, "train", "validation"), plan.FEATURES, "y")
+    out = md.predict_ltv(model, _part(rows, "test"))
+    spread = (F.col("ltv_p10") == F.col("ltv_p50") * 0.5) & (F.col("ltv_p90") == F.col("ltv_p50") * 1.5) & (F.col("ltv_p50") == F.col("ltv_90d"))
+    return out.select("account_id", "as_of_time", (F.col("ltv_90d") >= 0).alias("floored"), spread.alias("spread"))
 
 
-@query("isolation_scores", "", None)
+@query("isolation_scores", "lineitem", "SELECT l_orderkey, l_linenumber, l_partkey, TRUE AS in_range FROM lineitem")
 def isolation_scores(t: Tables) -> DataFrame:
     rows = t.lineitem.withColumn("id", F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    forest = md.IsolationForest(columns, "id", trees=25).fit(rows)
-    return forest.predict(rows).select("l_orderkey", "l_linenumber", "l_partkey", F.round("score", 6).alias("score"))
+    forest = md.IsolationForest(columns, "id", sample=256).fit(rows)
+    return forest.predict(rows).select("l_orderkey", "l_linenumber", "l_partkey", F.col("score").between(0, 1).alias("in_range"))
 
 
-@query("search_logistic", "", None)
+@query(
+    "search_logistic", "",
+    "SELECT unnest([" + ", ".join(f"'{f}'" for f in plan.FEATURES) + "]) AS feature, TRUE AS finite, CAST(4 AS INTEGER) AS tried",
+)
 def search_logistic(t: Tables) -> DataFrame:
     rows = _training(t)
-    best, tried = md.search(rows, plan.FEATURES, "churn", {"regParam": [0.0, 0.1], "maxIter": [10]})
+    best, tried = md.search(_part(rows, "train", "validation"), plan.FEATURES, "churn", {"regParam": [0.0, 0.01, 0.1, 1.0]})
     weights = md.linear_weights(best, plan.FEATURES)
-    return t.spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "feature string, weight double").withColumn("tried", F.lit(len(tried)))
+    return t.spark.createDataFrame([(k, v == v and abs(v) < float("inf")) for k, v in weights.items()], "feature string, finite boolean").withColumn("tried", F.lit(len(tried)))

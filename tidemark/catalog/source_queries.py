@@ -128,7 +128,8 @@ def index_versions(t: Tables) -> DataFrame:
 )
 def audit_append(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "audit")
-    st.append_audit(t.audit_v, path)
+    for _ in range(2):  # the second is a retry
+        st.append_audit(t.audit_v, path, batch="a")
     rows = t.spark.read.parquet(path).filter("domain = 'fraud' AND day = DATE '2024-01-12'")
     return rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("latency_ms") > 200).alias("slow"), F.max("model_version").alias("model_version"))
 
@@ -140,7 +141,7 @@ def audit_append(t: Tables) -> DataFrame:
 def feedback_append(t: Tables) -> DataFrame:
     """Ratings shifted up by one, so the highest falls out of range."""
     path = scratch_path(t.spark, "feedback")
-    bad = st.append_feedback(t.feedback_v.withColumn("rating", F.col("rating") + 1), path)
+    bad = st.append_feedback(t.feedback_v.withColumn("rating", F.col("rating") + 1), path, batch="a")
     good = t.spark.read.parquet(path)
     count = F.count(F.lit(1)).alias("n")
     return good.agg(F.lit("kept").alias("part"), count).unionByName(bad.agg(F.lit("rejected").alias("part"), count))

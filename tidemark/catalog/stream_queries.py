@@ -11,8 +11,26 @@ from .registry import query
 from .views import VIEWS, Tables
 
 
-def _stream(t: Tables, table: str = "events") -> DataFrame:
-    return sm.file_stream(t.spark, t.sf_dir, getattr(t, table).schema, f"{table}.parquet")
+#: Files of the event stream, in time order; each is a micro-batch.
+_FILES = 4
+_written: dict[tuple, str] = {}
+
+
+def _stream(t: Tables, late: bool = False) -> DataFrame:
+    """``events`` as a stream of one file after the other; with ``late``, the last file brings the first hours once more, too late."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, late)
+    if key not in _written:
+        path = scratch_path(t.spark, "event-files")
+        low, high = t.events.agg(F.min("ts"), F.max("ts")).first()
+        step = (high - low) / _FILES
+        for k in range(_FILES):
+            here = t.events.filter(F.col("ts") >= F.lit(low + k * step))
+            here = here.filter(F.col("ts") < F.lit(low + (k + 1) * step)) if k + 1 < _FILES else here
+            here.coalesce(1).write.mode("append").parquet(path)
+        if late:
+            t.events.filter(F.col("ts") < F.lit(low) + F.expr("INTERVAL 3 HOUR")).coalesce(1).write.mode("append").parquet(path)
+        _written[key] = path
+    return sm.file_stream(t.spark, _written[key], t.events.schema, files_per_batch=1)
 
 
 def _view(t: Tables, name: str, **inputs: DataFrame) -> DataFrame:
@@ -35,7 +53,7 @@ _CLOSED = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
       FROM w WHERE window_start + INTERVAL 24 HOUR <= {_CLOSED} GROUP BY ALL""",
 )
 def stream_velocity(t: Tables) -> DataFrame:
-    df = sm.stream_velocity(_stream(t), "24 hours", "6 hours", "10 minutes", ts="ts", amount="value")
+    df = sm.stream_velocity(_stream(t, late=True), "24 hours", "6 hours", "10 minutes", ts="ts", amount="value")
     return rounded(_run(t, df, "velocity"), "total", "mean")
 
 
@@ -47,7 +65,7 @@ def stream_velocity(t: Tables) -> DataFrame:
       WINDOW w AS (PARTITION BY user_id ORDER BY hr RANGE BETWEEN INTERVAL 167 HOUR PRECEDING AND CURRENT ROW)""",
 )
 def stream_rolled_week(t: Tables) -> DataFrame:
-    hourly = sm.stream_velocity(_stream(t), "1 hour", None, "10 minutes", ts="ts", amount="value")
+    hourly = sm.stream_velocity(_stream(t, late=True), "1 hour", None, "10 minutes", ts="ts", amount="value")
     return rounded(sm.roll_up(_run(t, hourly, "hourly"), 168), "total")
 
 
@@ -57,7 +75,7 @@ def stream_rolled_week(t: Tables) -> DataFrame:
       WHERE time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 7 DAY <= {_CLOSED} GROUP BY ALL""",
 )
 def stream_tumbling(t: Tables) -> DataFrame:
-    return _run(t, sm.stream_tumbling(_stream(t), "7 days", "10 minutes", ts="ts"), "weekly")
+    return _run(t, sm.stream_tumbling(_stream(t, late=True), "7 days", "10 minutes", ts="ts"), "weekly")
 
 
 @query(
@@ -107,7 +125,7 @@ def stream_expire(t: Tables) -> DataFrame:
     lasting = st.to_online(rows, "fraud", "x", "user_id", "2024-02-01 00:00:00").withColumn("feature_set_version", F.get_json_object("features", "$.event_type"))
     brief = st.to_online(rows, "churn", "x", "user_id", "2024-02-01 00:00:00", 60)
     box = st.OnlineStore(t.spark, scratch_path(t.spark, "expire"))
-    sm.stream_expire(lasting.unionByName(brief), box, "2024-02-02 00:00:00", scratch_path(t.spark, "expire-state"))
+    sm.stream_expire(lasting.unionByName(brief), box, "2024-02-02 00:00:00", scratch_path(t.spark, "expire-state"), every=1)
     return box.current().groupBy("entity_key").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -117,7 +135,7 @@ def stream_expire(t: Tables) -> DataFrame:
       FROM audit_v WHERE date_trunc('minute', created_at)::TIMESTAMP + INTERVAL 1 MINUTE <= {_CLOSED} GROUP BY domain, date_trunc('minute', created_at)""",
 )
 def stream_slo(t: Tables) -> DataFrame:
-    audit = _view(t, "audit_v", events=_stream(t))
+    audit = _view(t, "audit_v", events=_stream(t, late=True))
     return rounded(_run(t, sm.stream_slo(audit, "10 minutes"), "slo").select("domain", "window_start", "n", "error_rate"), "error_rate")
 
 
@@ -128,7 +146,7 @@ def stream_slo(t: Tables) -> DataFrame:
       SELECT domain, count(*) AS minutes FROM m WHERE p95_ms > CASE domain WHEN 'churn' THEN 240 ELSE 160 END GROUP BY 1""",
 )
 def stream_slo_rollback(t: Tables) -> DataFrame:
-    audit = _view(t, "audit_v", events=_stream(t))
+    audit = _view(t, "audit_v", events=_stream(t, late=True))
     out = mo.rollback_condition(_run(t, sm.stream_slo(audit, "10 minutes"), "slo2"))
     return out.filter((F.col("slow_minutes") > 0) & (F.col("n") < 20)).groupBy("domain").agg(F.count(F.lit(1)).alias("minutes"))
 
@@ -142,13 +160,30 @@ _DAY_BIN = " + ".join(f"CASE WHEN value >= q{i} THEN 1 ELSE 0 END" for i in rang
     f"""WITH q AS (SELECT {_DAY_EDGES} FROM events), x AS (SELECT CAST(ts AS DATE) AS day, {_DAY_BIN} AS bin FROM events, q),
       base AS (SELECT bin, count(*) AS e FROM x GROUP BY 1), cur AS (SELECT day, bin, count(*) AS a FROM x GROUP BY ALL), tot AS (SELECT day, sum(a) AS na FROM cur GROUP BY 1),
       cells AS (SELECT day, coalesce(e, 0) / ((SELECT sum(e) FROM base) + 1e-6) + 1e-6 AS pe, coalesce(a, 0) / (na + 1e-6) + 1e-6 AS pa FROM (SELECT * FROM tot, (SELECT CAST(unnest(range(10)) AS INTEGER) AS bin)) LEFT JOIN base USING (bin) LEFT JOIN cur USING (day, bin))
-      SELECT day, 'value' AS feature, round(sum((pa - pe) * ln(pa / pe)), 6) AS psi FROM cells GROUP BY 1""",
+      SELECT day, 'value' AS feature, round(sum((pa - pe) * ln(pa / pe)), 6) AS psi FROM cells WHERE day + INTERVAL 1 DAY <= {_CLOSED} GROUP BY 1""",
 )
 def stream_drift(t: Tables) -> DataFrame:
+    """Days that are split over micro-batches and met again by late rows count once and whole."""
     edges = drift.baseline_edges(t.events, ["value"])
-    out = scratch_path(t.spark, "drift")
-    sm.stream_drift(_stream(t), t.events, edges, out, scratch_path(t.spark, "drift-state"), F.to_date("ts"))
-    return rounded(sm.drift_state(t.spark, out).select("day", "feature", "psi"), "psi")
+    counts = _run(t, sm.stream_bin_counts(_stream(t, late=True), edges, "10 minutes", "ts"), "drift")
+    return rounded(sm.drift_state(counts, drift.bin_counts(t.events, edges, (), "e"), edges).select("day", "feature", "psi"), "psi")
+
+
+@query(
+    "stream_audit", "txn_scored_v",
+    """SELECT concat('req_', cast(transaction_id AS string)) AS request_id, 'fraud' AS domain, CASE WHEN risk_score >= 0.9 THEN 'REJECT' WHEN risk_score >= 0.5 THEN 'MANUAL_REVIEW' ELSE 'APPROVE' END AS decision,
+      'n/a' AS model_version, cast(event_time AS DATE) AS day FROM txn_scored_v""",
+)
+def stream_audit(t: Tables) -> DataFrame:
+    """Every request arrives twice and is audited once."""
+    source = _stream(t)
+    scored = _view(t, "txn_scored_v", transactions_v=_view(t, "transactions_v", events=source.unionByName(source)))
+    scored = scored.withColumn("request_id", F.concat(F.lit("req_"), F.col("transaction_id").cast("string")))
+    decided = sm.stream_decisions(scored, policy.DEFAULT_RULES, "1 day")
+    rows = decided.select("request_id", F.lit("fraud").alias("domain"), "decision", sm.wall_clock("event_time").alias("created_at"))
+    path = scratch_path(t.spark, "stream-audit")
+    sm.stream_audit(rows, path, scratch_path(t.spark, "stream-audit-state"))
+    return t.spark.read.parquet(path).select("request_id", "domain", "decision", "model_version", "day")
 
 
 @query(

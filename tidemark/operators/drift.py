@@ -41,30 +41,31 @@ def baseline_edges(base: DataFrame, features: list[str], bins: int = BINS, metho
     return {r["feature"]: [r[f"q{i}"] for i in range(1, bins)] for r in rows}
 
 
-def psi_numeric(
-    base: DataFrame, current: DataFrame, edges: dict[str, list[float]], by: tuple[str, ...] = (), epsilon: float = EPSILON
-) -> DataFrame:
-    """PSI per feature (and per ``by`` group of the current side) over the baseline's quantile bins.
-
-    Rows are binned in place against literal edges; what is shuffled is one
-    partial count per (group, feature, bin) and task.
-    """
+def bin_counts(df: DataFrame, edges: dict[str, list[float]], by: tuple[str | Column, ...] = (), out: str = "n") -> DataFrame:
+    """Rows per (by, feature, bin) against literal edges; also on streams, where ``by`` holds the window."""
     names = list(edges)
-    cuts = F.create_map(*[x for f in names for x in (F.lit(f), F.array(*[F.lit(float(v)) for v in edges[f]]))])
-
-    def binned(df: DataFrame, keys: tuple[str, ...], out: str) -> DataFrame:
-        long = unpivot_numeric(df, names, keys)
-        mine = F.try_element_at(cuts, F.col("feature"))
-        bin_of = F.size(F.filter(mine, lambda edge: F.col("value") >= edge))
-        return long.groupBy(*keys, "feature", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias(out))
-
-    expected = binned(base, (), "e")
-    actual = binned(current, by, "a")
+    keys = tuple(c for c in by if isinstance(c, str))
+    extra = [c for c in by if not isinstance(c, str)]
+    keep = tuple(dict.fromkeys([*keys, *(c for c in df.columns if extra and c not in names)]))
+    long = unpivot_numeric(df, names, keep)
+    chain = F.lit(None).cast("int")
+    for name in names:
+        place = F.lit(0)
+        for edge in edges[name]:
+            place = place + F.when(F.col("value") >= F.lit(float(edge)), 1).otherwise(0)
+        chain = F.when(F.col("feature") == name, place).otherwise(chain)
+    return long.groupBy(*keys, *extra, "feature", chain.alias("bin")).agg(F.count(F.lit(1)).alias(out))
+
+
+def psi_of_counts(expected: DataFrame, actual: DataFrame, edges: dict[str, list[float]], by: tuple[str, ...] = (), epsilon: float = EPSILON) -> DataFrame:
+    """PSI per (by, feature) from counts: ``expected`` (feature, bin, e) and ``actual`` (by, feature, bin, a)."""
     keys = (*by, "feature")
+    sizes = F.lit(0)
+    for name, cuts in edges.items():
+        sizes = F.when(F.col("feature") == name, F.lit(len(cuts))).otherwise(sizes)
     # Every (group, feature) meets every bin, also the empty ones.
-    all_bins = F.explode(F.sequence(F.lit(0), F.size(F.try_element_at(cuts, F.col("feature")))))
     totals = actual.groupBy(*keys).agg(F.sum("a").alias("a_total"))
-    grid = totals.withColumn("bin", all_bins)
+    grid = totals.withColumn("bin", F.explode(F.sequence(F.lit(0), sizes)))
     e_tot = expected.groupBy("feature").agg(F.sum("e").alias("e_total"))
     cells = (
         grid.join(expected, ["feature", "bin"], "left").join(e_tot, "feature").join(actual, [*keys, "bin"], "left").fillna(0, ["e", "a"])
@@ -72,6 +73,17 @@ def psi_numeric(
     return _index(cells, keys, epsilon)
 
 
+def psi_numeric(
+    base: DataFrame, current: DataFrame, edges: dict[str, list[float]], by: tuple[str, ...] = (), epsilon: float = EPSILON
+) -> DataFrame:
+    """PSI per feature (and per ``by`` group of the current side) over the baseline's quantile bins.
+
+    Rows are binned in place against literal edges; what is shuffled is one
+    partial count per (group, feature, bin) and task.
+    """
+    return psi_of_counts(bin_counts(base, edges, (), "e"), bin_counts(current, edges, by, "a"), edges, by, epsilon)
+
+
 def psi_categorical(
     base: DataFrame, current: DataFrame, columns: list[str], by: tuple[str, ...] = (), keep: int = 10, epsilon: float = EPSILON
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from .ordered import exact_quantiles, ranked
 BOOST = {"maxIter": 100, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.8, "seed": 42}
 FOREST = {"numTrees": 200, "maxDepth": 20, "minInstancesPerNode": 5, "seed": 42}
 LTV_FACTORS = {"ltv_p10": 0.5, "ltv_p50": 1.0, "ltv_p90": 1.5}
-ISOLATION = {"trees": 100, "sample": 256, "contamination": 0.01, "seed": 42}
+ISOLATION = {"trees": 100, "contamination": 0.01, "seed": 42}
 
 
 def stratified_split(df: DataFrame, label: str, row_id: str, fraction: float = 0.2, seed: int = 42, part: str = "part", names: tuple[str, str] = ("train", "test")) -> DataFrame:
@@ -34,6 +34,13 @@ def stratified_split(df: DataFrame, label: str, row_id: str, fraction: float = 0
     return r.withColumn(part, F.when(held, names[1]).otherwise(names[0])).drop("__h", "__rank", "__size")
 
 
+def three_way_split(df: DataFrame, label: str, row_id: str, test: float = 0.2, validation: float = 0.2, seed: int = 42, part: str = "part") -> DataFrame:
+    """train, validation and test rows, exact per class: test is cut first, validation from the rest."""
+    outer = stratified_split(df, label, row_id, test, seed, "__outer", ("rest", "test"))
+    inner = stratified_split(outer.filter("__outer = 'rest'"), label, row_id, validation, seed + 1, part, ("train", "validation"))
+    return inner.drop("__outer").unionByName(outer.filter("__outer = 'test'").withColumn(part, F.lit("test")).drop("__outer"))
+
+
 def hashed_split(df: DataFrame, row_id: str, fraction: float = 0.2, seed: int = 42, part: str = "part") -> DataFrame:
     """Approximate split without a shuffle: each row decides by its own hash."""
     share = F.pmod(F.xxhash64(F.col(row_id).cast("string"), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
@@ -99,16 +106,20 @@ def out_of_fold(kind: str, df: DataFrame, features: list[str], label: str, row_i
 
 
 class Calibrator:
-    """Isotonic or Platt calibration fitted on out-of-fold scores."""
+    """Isotonic or Platt calibration fitted on out-of-fold scores.
+
+    The isotonic fit pools scores on a grid of ``cells`` equal steps first, so
+    what it gathers has a fixed size.
+    """
 
-    def __init__(self, method: str = "isotonic"):
-        self.method, self.model = method, None
+    def __init__(self, method: str = "isotonic", cells: int = 2_000):
+        self.method, self.cells, self.model = method, cells, None
 
     def fit(self, scored: DataFrame, label: str, score: str = "score") -> "Calibrator":
         rows = scored.select(F.col(label).cast("double").alias("label"), F.col(score).alias("__s"))
         if self.method == "isotonic":
-            # Equal scores collapse to one weighted row before the ordered fit.
-            cells = rows.groupBy("__s").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
+            # Scores of one grid cell collapse to one weighted row before the ordered fit.
+            cells = rows.groupBy((F.round(F.col("__s") * self.cells) / self.cells).alias("__s")).agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
             cells = VectorAssembler(inputCols=["__s"], outputCol="__v").transform(cells)
             self.model = IsotonicRegression(featuresCol="__v", labelCol="label", weightCol="w").fit(cells)
         else:
@@ -216,15 +227,15 @@ def grow_isolation_trees(df: DataFrame, features: list[str], row_id: str, trees:
 
 
 class IsolationForest:
-    """Isolation forest: trees grown on bounded samples, scored in Arrow batches.
+    """Isolation forest: each tree is grown on ``sample`` rows drawn by hash, as the algorithm has it; all rows are scored.
 
-    The trees (at most trees x 2 x sample nodes) are the only thing sent to the
-    tasks.
+    Rows that no tree draws shape no tree.  The trees (at most trees x 2 x
+    sample nodes) are the only thing sent to the tasks.
     """
 
-    def __init__(self, features: list[str], row_id: str, **settings):
+    def __init__(self, features: list[str], row_id: str, sample: int, **settings):
         self.features, self.row_id = features, row_id
-        self.settings = {**ISOLATION, **settings}
+        self.settings = {**ISOLATION, "sample": sample, **settings}
         self.nodes, self.offset = None, 0.0
 
     def fit(self, df: DataFrame) -> "IsolationForest":

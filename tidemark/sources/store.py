@@ -126,15 +126,19 @@ def audit_rows(df: DataFrame, now: Moment | None = None) -> DataFrame:
     )
 
 
-def append_audit(df: DataFrame, path: str, now: Moment | None = None) -> None:
-    """Append below (domain, day) partitions, so audit questions prune to what they read."""
-    audit_rows(df, now).withColumn("day", F.to_date("created_at")).write.mode("append").partitionBy("domain", "day").parquet(path)
+def append_audit(df: DataFrame, path: str, now: Moment | None = None, *, batch: str) -> None:
+    """Append one batch below (domain, day) partitions, so audit questions prune to what they read.
+
+    A batch owns its folder: a retried one replaces itself and duplicates nothing.
+    """
+    rows = audit_rows(df, now).withColumn("day", F.to_date("created_at"))
+    rows.write.mode("overwrite").partitionBy("domain", "day").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
-def append_feedback(df: DataFrame, path: str) -> DataFrame:
-    """Append ratings from 1 to 5; returns the rejected rows with their violations."""
+def append_feedback(df: DataFrame, path: str, *, batch: str) -> DataFrame:
+    """Append a batch of ratings from 1 to 5, as ``append_audit`` does; returns the rejected rows with their violations."""
     good, bad = quarantine(df, {"rating_out_of_range": between("rating", 1, 5)})
-    good.write.mode("append").parquet(path)
+    good.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
     return bad
 
 

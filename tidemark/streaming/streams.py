@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.temporal import Moment, time_bucket
-from ..operators.drift import drift_triggers, psi_numeric
+from ..operators.drift import bin_counts, drift_triggers, psi_of_counts
 from ..operators.monitor import slo_windows
 from ..operators.policy import Rule, apply_rules
-from ..sources.store import OnlineStore
+from ..sources.store import OnlineStore, append_audit
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -116,19 +116,21 @@ def stream_slo(audit: DataFrame, delay: str, size: str = "1 minute", ts: str = "
     return windows.withColumn("window_start", wall_clock("window_start"))
 
 
-def stream_drift(features: DataFrame, base: DataFrame, edges: dict[str, list[float]], path: str, checkpoint: str, day: Column) -> StreamingQuery:
-    """PSI rows per day and micro-batch, written below ``path`` by batch."""
+def stream_audit(decided: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Audit rows of decided requests; a micro-batch owns its folder, so a retry replaces it."""
+    return run_batches(decided, lambda rows, batch: append_audit(rows, path, batch=f"{batch:09d}"), checkpoint)
 
-    def each(rows: DataFrame, batch: int) -> None:
-        daily = psi_numeric(base, rows.withColumn("day", day), edges, ("day",))
-        daily.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    return run_batches(features, each, checkpoint)
+def stream_bin_counts(features: DataFrame, edges: dict[str, list[float]], delay: str, ts: str = "event_time") -> DataFrame:
+    """Counts per closed day, feature and bin as a stream: what drift needs, however a day is spread over micro-batches."""
+    rows = watermarked(features.select(ts, *edges), ts, delay)
+    counts = bin_counts(rows, edges, (F.window(ts, "1 day").alias("w"),), "a")
+    return counts.select(F.to_date(wall_clock("w.start")).alias("day"), "feature", "bin", "a")
 
 
-def drift_state(spark: SparkSession, path: str, consecutive: int = 2) -> DataFrame:
-    """Triggers over the PSI rows written so far."""
-    series = spark.read.option("basePath", path).parquet(f"{path}/*").drop("batch")
+def drift_state(counts: DataFrame, baseline: DataFrame, edges: dict[str, list[float]], consecutive: int = 2) -> DataFrame:
+    """Triggers over the days counted so far; ``baseline`` is counted once (``bin_counts`` with ``e``)."""
+    series = psi_of_counts(baseline, counts, edges, ("day",))
     return drift_triggers(series, (), "day", consecutive=consecutive, step=F.expr("INTERVAL 1 DAY"))
 
 
