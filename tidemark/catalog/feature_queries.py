@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.temporal import moment
 from ..operators import asof, features as ft, saas, spine
 from ..operators.ordered import latest_per_key
+from ..plans import churn as churn_plan
 from .registry import query
 from .views import Tables
 
@@ -183,9 +184,7 @@ def ltv_labels(t: Tables) -> DataFrame:
     return rounded(saas.ltv_labels(t.subscriptions_v, SAAS_AS_OFS), "ltv_90d")
 
 
-@query(
-    "saas_features", "accounts_v subscriptions_v feature_usage_v support_tickets_v",
-    f"""WITH s AS (SELECT * FROM {as_of_values(SAAS_AS_OFS)}),
+FEATURES_SQL = f"""WITH s AS (SELECT * FROM {as_of_values(SAAS_AS_OFS)}),
       act AS (SELECT subscription_id, account_id, as_of_time FROM subscriptions_v, s WHERE start_date <= as_of_time AND (end_date IS NULL OR end_date > as_of_time)),
       spine AS (SELECT DISTINCT account_id, as_of_time FROM act),
       u AS (SELECT account_id, as_of_time,
@@ -213,8 +212,10 @@ def ltv_labels(t: Tables) -> DataFrame:
         coalesce(recency_days, 999) AS recency_days, round(avg_revenue_90d, 6) AS avg_revenue_90d,
         CASE coalesce(pl.plan_tier, a.plan_tier) WHEN 'Pro' THEN 1 WHEN 'Enterprise' THEN 2 ELSE 0 END AS plan_tier
       FROM spine LEFT JOIN u USING (account_id, as_of_time) LEFT JOIN c USING (account_id, as_of_time)
-      LEFT JOIN pl USING (account_id, as_of_time) LEFT JOIN k USING (account_id, as_of_time) LEFT JOIN accounts_v a USING (account_id)""",
-)
+      LEFT JOIN pl USING (account_id, as_of_time) LEFT JOIN k USING (account_id, as_of_time) LEFT JOIN accounts_v a USING (account_id)"""
+
+
+@query("saas_features", "accounts_v subscriptions_v feature_usage_v support_tickets_v", FEATURES_SQL)
 def saas_features(t: Tables) -> DataFrame:
     out = saas.saas_features(t.accounts_v, t.subscriptions_v, t.feature_usage_v, t.support_tickets_v, SAAS_AS_OFS)
     return rounded(out, "avg_resolution_hours_90d", "avg_revenue_90d")
@@ -238,6 +239,19 @@ def training_set(t: Tables) -> DataFrame:
     return churn.join(ltv, keys)
 
 
+@query(
+    "training_table", "accounts_v subscriptions_v feature_usage_v support_tickets_v churn_events_v",
+    f"WITH lab AS ({TRAINING_SQL}), feat AS ({FEATURES_SQL}) SELECT * FROM lab JOIN feat USING (account_id, as_of_time)",
+)
+def training_table(t: Tables) -> DataFrame:
+    """Labels with all features, as models read them."""
+    tables = {
+        "accounts": t.accounts_v, "subscriptions": t.subscriptions_v, "feature_usage": t.feature_usage_v,
+        "support_tickets": t.support_tickets_v, "churn_events": t.churn_events_v,
+    }
+    return rounded(churn_plan.training_table(tables, SAAS_AS_OFS), "ltv_90d", "avg_resolution_hours_90d", "avg_revenue_90d")
+
+
 @query(
     "latest_snapshot", "profile_snapshots_v",
     """SELECT user_id, snapshot_time, event_id, kyc_status FROM profile_snapshots_v WHERE snapshot_time <= TIMESTAMP '2024-01-20 00:00:00'

@@ -100,12 +100,11 @@ def eval_set_jsonl(t: Tables) -> DataFrame:
     return tb.read_eval_set(t.spark, path).select("query", "gold_answer", F.size("gold_evidence").cast("bigint").alias("n_gold"))
 
 
-@query("chunk_jsonl", "documents", f"WITH {_CHUNKS} SELECT source_id, count(*) AS n, CAST(sum(length(content)) AS BIGINT) AS chars FROM chunks GROUP BY 1")
+@query("chunk_jsonl", "documents", f"WITH {_CHUNKS} SELECT chunk_id, source_id, sha256(content) AS content_hash FROM chunks")
 def chunk_jsonl(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "chunks")
     st.write_json(_chunks(t), path)
-    rows = tb.read_chunks(t.spark, path)
-    return rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("content")).alias("chars"))
+    return tb.read_chunks(t.spark, path).select("chunk_id", "source_id", F.sha2("content", 256).alias("content_hash"))
 
 
 @query(

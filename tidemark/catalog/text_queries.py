@@ -255,6 +255,42 @@ def answer_gate(t: Tables) -> DataFrame:
     return rounded(gates.rag_gate(mx.to_long(wide.drop("run")), ANSWER_GATE), "value")
 
 
+# Replies with and without evidence, reference and admission of not knowing, in all combinations.
+_REPLIES = """replies AS (SELECT conv_id, turn, CASE conv_id % 4 WHEN 0 THEN 'I don''t know.' WHEN 1 THEN concat(text, ' [doc_1:p0]') ELSE text END AS answer, conv_id % 3 <> 0 AS had
+    FROM conversations WHERE role = 'assistant'),
+  flags AS (SELECT conv_id, turn, CASE WHEN NOT had AND answer <> 'I don''t know.' THEN 1e0 ELSE 0e0 END AS idk_violation,
+    CASE WHEN had AND answer <> 'I don''t know.' AND NOT regexp_matches(answer, '\\[[\\w\\-]+:p\\d+\\]') THEN 1e0 ELSE 0e0 END AS hallucination_flag FROM replies)"""
+
+
+def _flagged(t: Tables) -> DataFrame:
+    said = t.conversations.filter("role = 'assistant'")
+    kind = F.col("conv_id") % 4
+    answer = F.when(kind == 0, F.lit("I don't know.")).when(kind == 1, F.concat("text", F.lit(" [doc_1:p0]"))).otherwise(F.col("text"))
+    none = F.array().cast("array<string>")
+    found = F.when(F.col("conv_id") % 3 != 0, F.array(F.lit("c1"))).otherwise(none)
+    gold = F.array().cast("array<struct<chunk_id:string,page:string>>")
+    rows = said.select("conv_id", "turn", answer.alias("answer"), found.alias("retrieved_chunk_ids"), none.alias("citations"), gold.alias("gold_evidence"))
+    return an.score_answers(rows)
+
+
+@query("guardrail_flags", "conversations", f"WITH {_REPLIES} SELECT * FROM flags")
+def guardrail_flags(t: Tables) -> DataFrame:
+    return _flagged(t).select("conv_id", "turn", "idk_violation", "hallucination_flag")
+
+
+@query(
+    "guardrail_gate", "conversations",
+    f"""WITH {_REPLIES}, r AS (SELECT avg(idk_violation) AS i, avg(hallucination_flag) AS h FROM flags)
+      SELECT 'must_return_idk' AS metric, 'max' AS rule, round(i, 6) AS value, 0e0 AS threshold, FALSE AS passed FROM r WHERE i > 0
+      UNION ALL SELECT 'hallucination_flag_rate', 'max', round(h, 6), 0.05e0, FALSE FROM r WHERE h > 0.05""",
+)
+def guardrail_gate(t: Tables) -> DataFrame:
+    """Only broken guardrails show up in the checks."""
+    rates = an.ablation(_flagged(t).withColumn("run", F.lit("all")), ("run",)).select("idk_violation_rate", "hallucination_flag_rate")
+    checks = gates.rag_gate(mx.to_long(rates), {"guardrails": ANSWER_GATE["guardrails"]})
+    return rounded(checks.filter("section = 'guardrails'").select("metric", "rule", "value", "threshold", "passed"), "value")
+
+
 @query(
     "citations", "conversations",
     r"""WITH x AS (SELECT conv_id, turn, concat(text, ' [conv_', cast(conv_id AS string), ':p', cast(turn AS string), ']') AS answer FROM conversations WHERE role = 'assistant')

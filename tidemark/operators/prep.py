@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import numeric_columns, text_columns
+from ..session import cut
 from .ordered import ranked
 from .skew import spread_join
 
@@ -36,17 +37,26 @@ def fill_missing(df: DataFrame, value: float = -999, keep: tuple[str, ...] = ())
     return df.fillna(value, numeric_columns(df.schema, keep))
 
 
-def encode_labels(df: DataFrame, columns: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode_labels(df: DataFrame, columns: list[str] | None = None, keep: tuple[str, ...] = (), broadcast_bytes: int = 32 << 20) -> DataFrame:
     """Text -> dense integer codes in alphabetical order, missing -> -1.
 
-    Codes come from the distinct values: ranked across partitions, joined
-    back by value; rows of a very frequent value are dealt over several tasks.
+    One pass collects the distinct values of all columns, ranked per column
+    across partitions.  Codes of a column go to the tasks where their values
+    take up at most ``broadcast_bytes``, so the wide table is not shuffled;
+    larger ones are joined by value, with the rows of a very frequent value
+    dealt over several tasks.
     """
+    names = columns or text_columns(df.schema, keep)
+    if not names:
+        return df
+    long = df.select(*names).unpivot([], names, "__c", "__v").filter(F.col("__v").isNotNull()).distinct()
+    codes = cut(ranked(long, [("__v", "asc")], by=("__c",), rank="__code"))
+    sizes = {r["__c"]: r["n"] for r in codes.groupBy("__c").agg(F.sum(F.octet_length("__v") + 32).alias("n")).collect()}
     out = df
-    for c in columns or text_columns(df.schema, keep):
-        values = df.select(F.col(c).alias("__v")).filter(F.col("__v").isNotNull()).distinct()
-        codes = ranked(values, [("__v", "asc")], rank="__code").select(F.col("__v").alias(c), (F.col("__code") - 1).alias("__code"))
-        out = spread_join(out, codes, c).withColumn(c, F.coalesce("__code", F.lit(-1)).cast("bigint")).drop("__code")
+    for c in names:
+        own = codes.filter(F.col("__c") == c).select(F.col("__v").alias(c), (F.col("__code") - 1).alias("__code"))
+        joined = out.join(F.broadcast(own), c, "left") if sizes.get(c, 0) <= broadcast_bytes else spread_join(out, own, c)
+        out = joined.withColumn(c, F.coalesce("__code", F.lit(-1)).cast("bigint")).drop("__code")
     return out.select(*df.columns)
 
 
