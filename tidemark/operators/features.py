@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.temporal import Moment, looking_back, span, time_bucket, whole_days
 from .ordered import union_all
-from .spine import attach_as_of
+from .spine import as_of_array, attach_as_of
 
 DAY = timedelta(days=1)
 
@@ -62,6 +62,13 @@ class Feature:
         simple = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min}[kind](inside)
         return (simple if self.default is None else F.coalesce(simple, F.lit(self.default))).alias(self.name)
 
+    @property
+    def missing(self) -> Any:
+        """What an entity without any row in the window has."""
+        if self.aggregation in ("count", "count_distinct", "changed", "any"):
+            return 0
+        return 0.0 if self.aggregation in ("slope", "regr_slope", "weekly_mean") else self.default
+
     def _trend(self, ts: str, as_of: Column, hit: Column) -> Column:
         total = F.count(F.when(hit, 1))
         if self.aggregation == "weekly_mean":
@@ -93,13 +100,52 @@ def build_features(
     tie: str | None = None,
     as_of: str = "as_of_time",
 ) -> DataFrame:
-    """All ``features`` of one source: one scan, one shuffle on (entity, as_of)."""
+    """All ``features`` of one source, one row per (entity, as_of) with any row in reach.
+
+    Features with a window are conditional aggregates over one copy of each
+    row per as-of whose look-back holds it.  Features without one (recency,
+    latest) copy no history: rows are reduced per (entity, slot between
+    as-ofs), and only these few rows go to the later as-ofs.
+    """
     keys = [entity] if isinstance(entity, str) else list(entity)
-    windows = [f.window for f in features]
-    reach = None if any(w is None for w in windows) else max(windows)
-    closed = "both" if any(f.closed == "both" for f in features) else "left"
-    rows = attach_as_of(df, ts, as_ofs, reach, closed, as_of)
-    return rows.groupBy(*keys, as_of).agg(*[f.compile(ts, F.col(as_of), tie) for f in features])
+    bounded, open_ = [f for f in features if f.window is not None], [f for f in features if f.window is None]
+    parts = []
+    if bounded:
+        closed = "both" if any(f.closed == "both" for f in bounded) else "left"
+        rows = attach_as_of(df, ts, as_ofs, max(f.window for f in bounded), closed, as_of)
+        parts.append(rows.groupBy(*keys, as_of).agg(*[f.compile(ts, F.col(as_of), tie) for f in bounded]))
+    for closed in dict.fromkeys(f.closed for f in open_):
+        parts.append(_open_features(df, keys, ts, as_ofs, [f for f in open_ if f.closed == closed], tie, closed, as_of))
+    if len(parts) == 1:
+        return parts[0]
+    merged = merge_groups(parts, [*keys, as_of])
+    return merged.fillna({f.name: f.missing for f in bounded if f.missing is not None})
+
+
+def _open_features(
+    df: DataFrame, keys: list[str], ts: str, as_ofs: list[Moment], features: list[Feature], tie: str | None, closed: str, as_of: str
+) -> DataFrame:
+    """Recency and latest values over all history before each as-of."""
+    moments = F.array_sort(as_of_array(as_ofs))
+    first = F.get(F.filter(moments, lambda a: F.col(ts) <= a if closed == "both" else F.col(ts) < a), 0)
+    sums = []
+    for f in features:
+        if f.aggregation not in ("recency", "latest"):
+            raise ValueError(f"{f.name}: {f.aggregation} needs a window")
+        order = [F.col(ts).alias("t"), *([F.col(tie).alias("tie")] if tie else [])]
+        entry = F.struct(*order, (F.col(f.column) if f.column else F.lit(1)).alias("v"))
+        sums.append(F.max(entry if f.where is None else F.when(F.coalesce(f.where, F.lit(False)), entry)).alias(f.name))
+    slots = df.withColumn("__slot", first).filter(F.col("__slot").isNotNull()).groupBy(*keys, "__slot").agg(*sums)
+    later = slots.withColumn(as_of, F.explode(F.filter(moments, lambda a: a >= F.col("__slot"))))
+    last = later.groupBy(*keys, as_of).agg(*[F.max(f.name).alias(f.name) for f in features])
+
+    def shown(f: Feature) -> Column:
+        if f.aggregation == "recency":
+            return F.coalesce(whole_days(F.col(f"{f.name}.t"), F.col(as_of)), F.lit(999)).alias(f.name)
+        value = F.col(f"{f.name}.v")
+        return (value if f.default is None else F.coalesce(value, F.lit(f.default))).alias(f.name)
+
+    return last.select(*keys, as_of, *[shown(f) for f in features])
 
 
 def merge_groups(frames: list[DataFrame], keys: list[str], fill: dict[str, Any] | None = None) -> DataFrame:
@@ -146,31 +192,50 @@ def from_spec(spec: dict, source: str, bindings: dict[str, dict], closed: str =
 
 # Feature groups of an event-log subscription business -----------------------------------------
 
+def _usage() -> list[Feature]:
+    return [
+        Feature("active_days_30d", "count_distinct", 30 * DAY, "__day"),
+        Feature("sessions_7d", "count", 7 * DAY, where=F.col("event_type") == "session_start"),
+        Feature("core_feature_cnt_14d", "count_distinct", 14 * DAY, "feature_name", F.col("event_type") == "feature_use"),
+    ]
+
+
+def _trend(slope: str = "weekly_mean") -> list[Feature]:
+    return [Feature("usage_slope_4w", slope, 28 * DAY), Feature("recency_days", "recency")]
+
+
+def _failures() -> list[Feature]:
+    return [Feature("payment_fail_30d", "count", 30 * DAY, where=F.col("status") == "failed")]
+
+
+def _revenue() -> list[Feature]:
+    return [Feature("avg_revenue_90d", "mean", 90 * DAY, "amount", F.col("status") == "success", default=None)]
+
+
+def _price_changes() -> list[Feature]:
+    return [
+        Feature("price_change_flag", "changed", 90 * DAY, "price"),
+        Feature("discount_used_90d", "any", 90 * DAY, where=F.col("coupon_code").isNotNull()),
+    ]
+
+
+def _plan() -> list[Feature]:
+    return [Feature("plan_tier", "latest", None, "plan", default=None)]
+
+
+def _with_day(events: DataFrame) -> DataFrame:
+    return events.withColumn("__day", F.to_date("event_time"))
+
+
 def usage_group(events: DataFrame, entity: str, as_ofs: list[Moment]) -> DataFrame:
     """events: entity, event_time, event_type, feature_name."""
-    rows = events.withColumn("__day", F.to_date("event_time"))
-    return build_features(
-        rows, entity, "event_time", as_ofs,
-        [
-            Feature("active_days_30d", "count_distinct", 30 * DAY, "__day"),
-            Feature("sessions_7d", "count", 7 * DAY, where=F.col("event_type") == "session_start"),
-            Feature("core_feature_cnt_14d", "count_distinct", 14 * DAY, "feature_name", F.col("event_type") == "feature_use"),
-        ],
-    )
+    return build_features(_with_day(events), entity, "event_time", as_ofs, _usage())
 
 
 def payment_group(payments: DataFrame, subscriptions: DataFrame, entity: str, as_ofs: list[Moment]) -> DataFrame:
     """payments: entity, event_time, status; subscriptions: entity, event_time, price, coupon_code."""
-    failed = build_features(
-        payments, entity, "event_time", as_ofs, [Feature("payment_fail_30d", "count", 30 * DAY, where=F.col("status") == "failed")]
-    )
-    changed = build_features(
-        subscriptions, entity, "event_time", as_ofs,
-        [
-            Feature("price_change_flag", "changed", 90 * DAY, "price"),
-            Feature("discount_used_90d", "any", 90 * DAY, where=F.col("coupon_code").isNotNull()),
-        ],
-    )
+    failed = build_features(payments, entity, "event_time", as_ofs, _failures())
+    changed = build_features(subscriptions, entity, "event_time", as_ofs, _price_changes())
     out = merge_groups([failed, changed], [entity, "as_of_time"])
     return out.fillna(0, ["payment_fail_30d", "price_change_flag", "discount_used_90d"])
 
@@ -188,20 +253,12 @@ def support_group(tickets: DataFrame, entity: str, as_ofs: list[Moment], urgent:
 
 
 def trend_group(events: DataFrame, entity: str, as_ofs: list[Moment], slope: str = "weekly_mean") -> DataFrame:
-    return build_features(
-        events, entity, "event_time", as_ofs,
-        [Feature("usage_slope_4w", slope, 28 * DAY), Feature("recency_days", "recency")],
-    )
+    return build_features(events, entity, "event_time", as_ofs, _trend(slope))
 
 
 def value_group(payments: DataFrame, subscriptions: DataFrame, entity: str, as_ofs: list[Moment], tie: str | None = None) -> DataFrame:
-    paid = build_features(
-        payments, entity, "event_time", as_ofs,
-        [Feature("avg_revenue_90d", "mean", 90 * DAY, "amount", F.col("status") == "success", default=None)],
-    )
-    plan = build_features(
-        subscriptions, entity, "event_time", as_ofs, [Feature("plan_tier", "latest", None, "plan", default=None)], tie=tie
-    )
+    paid = build_features(payments, entity, "event_time", as_ofs, _revenue())
+    plan = build_features(subscriptions, entity, "event_time", as_ofs, _plan(), tie=tie)
     return merge_groups([paid, plan], [entity, "as_of_time"])
 
 
@@ -221,12 +278,12 @@ def event_log_features(
         events, payments, subscriptions, tickets = [
             d.filter(F.col(entity).isin(entities)) for d in (events, payments, subscriptions, tickets)
         ]
+    # One compile per source: all its features share a scan.
     groups = [
-        usage_group(events, entity, as_ofs),
-        payment_group(payments, subscriptions, entity, as_ofs),
+        build_features(_with_day(events), entity, "event_time", as_ofs, _usage() + _trend()),
+        build_features(payments, entity, "event_time", as_ofs, _failures() + _revenue()),
+        build_features(subscriptions, entity, "event_time", as_ofs, _price_changes() + _plan(), tie=tie),
         support_group(tickets, entity, as_ofs),
-        trend_group(events, entity, as_ofs),
-        value_group(payments, subscriptions, entity, as_ofs, tie),
     ]
     merged = merge_groups(groups, [entity, "as_of_time"])
     numeric = [f.name for f in merged.schema if f.name not in (entity, "as_of_time", "plan_tier", "recency_days")]
