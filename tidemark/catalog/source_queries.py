@@ -8,7 +8,7 @@ from ..session import scratch_path
 from ..sources import store as st, tables as tb
 from .feature_queries import rounded
 from .registry import query
-from .text_queries import ANSWER_GATE, _CHUNKS, _chunks, _docs, _queries
+from .text_queries import ANSWER_GATE, _CHUNKS, _ON_CHUNKS, _chunks, _docs, _queries
 from .views import Tables
 
 _FROM, _TO = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
@@ -170,7 +170,31 @@ def report_csv(t: Tables) -> DataFrame:
     return rounded(rows.select("stratum", "mae"), "mae", digits=4)
 
 
-@query("answer_modes", "", None)
+_MODES_SQL = f"""WITH {_ON_CHUNKS},
+  qs AS (SELECT item_id AS query_id, text AS query, CASE WHEN length(text) <= 50 THEN 3 ELSE 6 END AS top_k FROM benchmark),
+  lx AS (SELECT query_id, chunk_id, score FROM bm WHERE rank <= 6),
+  dn AS (SELECT q.vec_id AS query_id, concat('doc_', cast(d.vec_id AS string), ':p0:0') AS chunk_id, round(list_dot_product(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 10) AS score
+    FROM embeddings q JOIN benchmark ON item_id = q.vec_id, embeddings d QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 10) DESC, concat('doc_', cast(d.vec_id AS string), ':p0:0')) <= 6),
+  ls AS (SELECT query_id, chunk_id, coalesce((score - min(score) OVER w) / nullif(max(score) OVER w - min(score) OVER w, 0), 1) AS s FROM lx WINDOW w AS (PARTITION BY query_id)),
+  ds AS (SELECT query_id, chunk_id, coalesce((score - min(score) OVER w) / nullif(max(score) OVER w - min(score) OVER w, 0), 1) AS s FROM dn WINDOW w AS (PARTITION BY query_id)),
+  hits AS (SELECT 'bm25_only' AS mode, * FROM lx UNION ALL SELECT 'dense_only', * FROM dn UNION ALL SELECT 'hybrid', * FROM lx
+    UNION ALL SELECT 'hybrid', * FROM dn WHERE query_id NOT IN (SELECT query_id FROM lx)
+    UNION ALL SELECT 'weighted', query_id, chunk_id, round(coalesce(ls.s, 0) * 0.4 + coalesce(ds.s, 0) * 0.6, 10) FROM ls FULL JOIN ds USING (query_id, chunk_id)),
+  ranked AS (SELECT mode, query_id, chunk_id, row_number() OVER (PARTITION BY mode, query_id ORDER BY score DESC, chunk_id) AS rank FROM hits),
+  req AS (SELECT qs.*, requested, CASE WHEN requested = 'hybrid' AND length(query) <= 50 THEN 'bm25_only' ELSE requested END AS mode
+    FROM qs, (SELECT unnest(['bm25_only', 'dense_only', 'hybrid', 'weighted']) AS requested)),
+  r AS (SELECT requested, req.query_id, chunk_id, source_id, rank FROM req JOIN ranked USING (mode, query_id) JOIN chunks USING (chunk_id) WHERE rank <= top_k),
+  a AS (SELECT requested, query_id, list(chunk_id ORDER BY rank) AS ids, list(DISTINCT source_id) FILTER (rank <= 5) AS told FROM r GROUP BY ALL),
+  c AS (SELECT requested, query_id, list(r.chunk_id) AS cited FROM r JOIN a USING (requested, query_id) WHERE list_contains(told, source_id) GROUP BY ALL),
+  g AS (SELECT b.item_id AS query_id, list(DISTINCT c.chunk_id) AS gold FROM benchmark b JOIN chunks c ON contains(c.content, b.text) GROUP BY 1),
+  m AS (SELECT requested, query, CASE WHEN gold IS NULL THEN 0e0 ELSE len(list_intersect(gold, coalesce(ids, []))) * 1e0 / len(gold) END AS er,
+    CASE WHEN cited IS NULL THEN 0e0 ELSE len(list_intersect(cited, coalesce(gold, []))) * 1e0 / len(cited) END AS ca
+    FROM req LEFT JOIN a USING (requested, query_id) LEFT JOIN c USING (requested, query_id) LEFT JOIN g USING (query_id))
+  SELECT requested, count(*) AS n_queries, round(avg(er), 6) AS evidence_recall_at_k, round(avg(ca), 6) AS citation_accuracy, 1e0 AS citation_coverage,
+    round(quantile_cont(length(query), 0.95), 6) AS latency_p95_ms FROM m GROUP BY 1"""
+
+
+@query("answer_modes", "documents benchmark embeddings", _MODES_SQL)
 def answer_modes(t: Tables) -> DataFrame:
     """Index, ask in every mode, evaluate and gate. Vectors stand for the first chunk of the document of the same number."""
     box = st.IndexStore(t.spark, scratch_path(t.spark, "rag"))
@@ -182,6 +206,8 @@ def answer_modes(t: Tables) -> DataFrame:
     items = t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("phrase"))
     found = rt.phrase_hits(index["chunks"], items).join(items, "phrase")
     gold = found.groupBy("query_id").agg(F.collect_list(F.struct("chunk_id", F.lit(None).cast("string").alias("page"))).alias("gold_evidence"))
-    return plan.evaluate(answered.withColumn("latency_ms", F.length("query")), gold, ANSWER_GATE)["ablation"]
+    table = plan.evaluate(answered.withColumn("latency_ms", F.length("query")), gold, ANSWER_GATE)["ablation"]
+    names = ["evidence_recall_at_k", "citation_accuracy", "latency_p95_ms"]
+    return rounded(table.select("requested", "n_queries", *names, "citation_coverage"), *names)
 
 
