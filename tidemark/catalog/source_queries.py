@@ -183,8 +183,8 @@ _MODES_SQL = f"""WITH {_ON_CHUNKS},
   ranked AS (SELECT mode, query_id, chunk_id, row_number() OVER (PARTITION BY mode, query_id ORDER BY score DESC, chunk_id) AS rank FROM hits),
   req AS (SELECT qs.*, requested, CASE WHEN requested = 'hybrid' AND length(query) <= 50 THEN 'bm25_only' ELSE requested END AS mode
     FROM qs, (SELECT unnest(['bm25_only', 'dense_only', 'hybrid', 'weighted']) AS requested)),
-  r AS (SELECT requested, req.query_id, chunk_id, source_id, rank FROM req JOIN ranked USING (mode, query_id) JOIN chunks USING (chunk_id) WHERE rank <= top_k),
-  a AS (SELECT requested, query_id, list(chunk_id ORDER BY rank) AS ids, list(DISTINCT source_id) FILTER (rank <= 5) AS told FROM r GROUP BY ALL),
+  r AS (SELECT requested, req.query_id, chunk_id, source_id, rank, row_number() OVER (PARTITION BY requested, req.query_id ORDER BY rank) AS place FROM req JOIN ranked USING (mode, query_id) JOIN chunks USING (chunk_id) WHERE rank <= top_k),
+  a AS (SELECT requested, query_id, list(chunk_id ORDER BY rank) AS ids, list(DISTINCT source_id) FILTER (place <= 5) AS told FROM r GROUP BY ALL),
   c AS (SELECT requested, query_id, list(r.chunk_id) AS cited FROM r JOIN a USING (requested, query_id) WHERE list_contains(told, source_id) GROUP BY ALL),
   g AS (SELECT b.item_id AS query_id, list(DISTINCT c.chunk_id) AS gold FROM benchmark b JOIN chunks c ON contains(c.content, b.text) GROUP BY 1),
   m AS (SELECT requested, query, CASE WHEN gold IS NULL THEN 0e0 ELSE len(list_intersect(gold, coalesce(ids, []))) * 1e0 / len(gold) END AS er,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.temporal import Moment, looking_back, span, time_bucket, whole_days
 from .ordered import union_all
-from .spine import as_of_array, attach_as_of
+from .spine import as_of_array, attach_as_of, reaches
 
 DAY = timedelta(days=1)
 
@@ -69,6 +69,19 @@ class Feature:
             return 0
         return 0.0 if self.aggregation in ("slope", "regr_slope", "weekly_mean") else self.default
 
+    def summary(self, ts: str, tie: str | None) -> Column:
+        """Time and value of the last row; maxima of summaries are summaries."""
+        order = [F.col(ts).alias("t"), *([F.col(tie).alias("tie")] if tie else [])]
+        last = F.struct(*order, (F.col(self.column) if self.column else F.lit(1)).alias("v"))
+        return F.max(last if self.where is None else F.when(F.coalesce(self.where, F.lit(False)), last))
+
+    def shown(self, as_of: Column) -> Column:
+        """The feature of a summary."""
+        if self.aggregation == "recency":
+            return F.coalesce(whole_days(F.col(f"{self.name}.t"), as_of), F.lit(999))
+        value = F.col(f"{self.name}.v")
+        return value if self.default is None else F.coalesce(value, F.lit(self.default))
+
     def _trend(self, ts: str, as_of: Column, hit: Column) -> Column:
         total = F.count(F.when(hit, 1))
         if self.aggregation == "weekly_mean":
@@ -100,52 +113,43 @@ def build_features(
     tie: str | None = None,
     as_of: str = "as_of_time",
 ) -> DataFrame:
-    """All ``features`` of one source, one row per (entity, as_of) with any row in reach.
+    """All ``features`` of one source in one scan: one row per (entity, as_of) with any row in reach.
 
-    Features with a window are conditional aggregates over one copy of each
-    row per as-of whose look-back holds it.  Features without one (recency,
-    latest) copy no history: rows are reduced per (entity, slot between
-    as-ofs), and only these few rows go to the later as-ofs.
+    Most features are conditional aggregates over one copy of each row per
+    as-of whose look-back holds it.  Recency and latest values without a
+    window copy no history: a row goes once to its slot between as-ofs, and
+    only the reduced (entity, slot) rows go to the later as-ofs.
     """
     keys = [entity] if isinstance(entity, str) else list(entity)
-    bounded, open_ = [f for f in features if f.window is not None], [f for f in features if f.window is None]
-    parts = []
-    if bounded:
-        closed = "both" if any(f.closed == "both" for f in bounded) else "left"
-        rows = attach_as_of(df, ts, as_ofs, max(f.window for f in bounded), closed, as_of)
-        parts.append(rows.groupBy(*keys, as_of).agg(*[f.compile(ts, F.col(as_of), tie) for f in bounded]))
-    for closed in dict.fromkeys(f.closed for f in open_):
-        parts.append(_open_features(df, keys, ts, as_ofs, [f for f in open_ if f.closed == closed], tie, closed, as_of))
-    if len(parts) == 1:
-        return parts[0]
-    merged = merge_groups(parts, [*keys, as_of])
-    return merged.fillna({f.name: f.missing for f in bounded if f.missing is not None})
-
-
-def _open_features(
-    df: DataFrame, keys: list[str], ts: str, as_ofs: list[Moment], features: list[Feature], tie: str | None, closed: str, as_of: str
-) -> DataFrame:
-    """Recency and latest values over all history before each as-of."""
+    open_ = [f for f in features if f.window is None and f.aggregation in ("recency", "latest")]
+    bounded = [f for f in features if f not in open_]
+    windows = [f.window for f in bounded]
+    reach = None if any(w is None for w in windows) else max(windows, default=None)
+    closed = "both" if any(f.closed == "both" for f in bounded) else "left"
+    if not open_:
+        rows = attach_as_of(df, ts, as_ofs, reach, closed, as_of)
+        return rows.groupBy(*keys, as_of).agg(*[f.compile(ts, F.col(as_of), tie) for f in bounded])
+
     moments = F.array_sort(as_of_array(as_ofs))
-    first = F.get(F.filter(moments, lambda a: F.col(ts) <= a if closed == "both" else F.col(ts) < a), 0)
-    sums = []
-    for f in features:
-        if f.aggregation not in ("recency", "latest"):
-            raise ValueError(f"{f.name}: {f.aggregation} needs a window")
-        order = [F.col(ts).alias("t"), *([F.col(tie).alias("tie")] if tie else [])]
-        entry = F.struct(*order, (F.col(f.column) if f.column else F.lit(1)).alias("v"))
-        sums.append(F.max(entry if f.where is None else F.when(F.coalesce(f.where, F.lit(False)), entry)).alias(f.name))
-    slots = df.withColumn("__slot", first).filter(F.col("__slot").isNotNull()).groupBy(*keys, "__slot").agg(*sums)
-    later = slots.withColumn(as_of, F.explode(F.filter(moments, lambda a: a >= F.col("__slot"))))
-    last = later.groupBy(*keys, as_of).agg(*[F.max(f.name).alias(f.name) for f in features])
-
-    def shown(f: Feature) -> Column:
-        if f.aggregation == "recency":
-            return F.coalesce(whole_days(F.col(f"{f.name}.t"), F.col(as_of)), F.lit(999)).alias(f.name)
-        value = F.col(f"{f.name}.v")
-        return (value if f.default is None else F.coalesce(value, F.lit(f.default))).alias(f.name)
-
-    return last.select(*keys, as_of, *[shown(f) for f in features])
+
+    def entry(at: Column, slot: str | None) -> Column:
+        return F.struct(at.alias("at"), F.lit(slot).cast("string").alias("slot"))
+
+    entries = []
+    if bounded:
+        entries.append(F.transform(F.filter(moments, lambda a: reaches(ts, a, reach, closed)), lambda a: entry(a, None)))
+    for side in dict.fromkeys(f.closed for f in open_):
+        entries.append(F.transform(F.slice(F.filter(moments, lambda a: reaches(ts, a, None, side)), 1, 1), lambda a: entry(a, side)))
+    dealt = df.select("*", F.inline(F.concat(*entries)).alias(as_of, "__slot"))
+    columns = [F.when(F.col("__slot").isNull(), f.compile(ts, F.col(as_of), tie)).alias(f.name) for f in bounded]
+    columns += [F.when(F.col("__slot") == f.closed, f.summary(ts, tie)).alias(f.name) for f in open_]
+    reduced = dealt.groupBy(*keys, as_of, "__slot").agg(*columns)
+    onward = F.when(F.col("__slot").isNull(), F.array(F.col(as_of))).otherwise(F.filter(moments, lambda a: a >= F.col(as_of)))
+    names = [f.name for f in features]
+    last = reduced.select(*keys, *names, F.explode(onward).alias(as_of)).groupBy(*keys, as_of).agg(*[F.max(n).alias(n) for n in names])
+    shown = {f.name: f.shown(F.col(as_of)) for f in open_}
+    out = last.select(*keys, as_of, *[shown.get(n, F.col(n)).alias(n) for n in names])
+    return out.fillna({f.name: f.missing for f in bounded if f.missing is not None})
 
 
 def merge_groups(frames: list[DataFrame], keys: list[str], fill: dict[str, Any] | None = None) -> DataFrame:

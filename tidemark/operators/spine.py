@@ -9,14 +9,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.temporal import Moment, active_at, as_of_array, col, moment, span
 
 
+def reaches(ts: str, a: Column, lookback: timedelta | None, closed: str) -> Column:
+    """Whether the look-back before as-of ``a`` holds the row."""
+    upper = F.col(ts) <= a if closed == "both" else F.col(ts) < a
+    return upper if lookback is None else upper & (F.col(ts) >= a - span(lookback))
+
+
 def attach_as_of(
     df: DataFrame, ts: str, as_ofs: list[Moment], lookback: timedelta | None, closed: str = "left", as_of: str = "as_of_time"
 ) -> DataFrame:
     """One copy of each row per as-of whose look-back contains it."""
 
     def wanted(a: Column) -> Column:
-        upper = F.col(ts) <= a if closed == "both" else F.col(ts) < a
-        return upper if lookback is None else upper & (F.col(ts) >= a - span(lookback))
+        return reaches(ts, a, lookback, closed)
 
     if len(as_ofs) == 1:
         only = moment(as_ofs[0])
