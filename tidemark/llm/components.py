@@ -13,18 +13,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating star operations: neighbours hang themselves on the smallest
     node they see until every node hangs on its root.  A node of many edges is
     only ever the key of a minimum (combined before the shuffle) and of a join
-    that adaptive execution splits; no neighbour list is built.  Each round is
-    cut by a checkpoint.
+    of written tables, which adaptive execution splits; no neighbour list is
+    built.  Checkpoints cut each round's lineage.
     """
     links = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
     state = None
     while True:
         # Large star: larger neighbours of u move to the smallest of u and its neighbours.
         around = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = cut(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = around.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours move to the smallest of these.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(large)
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         moved = large.join(least, "u")
         small = moved.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
         links = cut(small.distinct())

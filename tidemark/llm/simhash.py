@@ -275,12 +275,15 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, n: int = WORDS, limit: in
     entries = cut(rows.groupBy(F.col("fingerprint").alias("word")).agg(F.min("doc_id").alias("low")))
     roots = connected_components(links(entries, bits, limit))
     linked = entries.join(roots, entries.word == roots.node).select("word", "low", "root")
-    lows = linked.groupBy("root").agg(F.min("low").alias("component_low"))
+    linked = cut(linked)
+    lows = cut(linked.groupBy("root").agg(F.min("low").alias("component_low")))
     inner = linked.join(lows, "root").select(F.col("word").alias("linked"), "root", "component_low")
     alone = F.col("linked").isNull()
     classes = entries.join(inner, entries.word == inner.linked, "left").select(
         "word", F.coalesce("root", "word").alias("component"), F.when(alone, F.col("low")).otherwise(F.col("component_low")).alias("component_id")
     )
+    # Written, like the tables above, so that both sides of a join are plain shuffles and a key of many rows can be split.
+    classes = cut(classes)
     return rows.join(classes, rows.fingerprint == classes.word).drop("word")
 
 
