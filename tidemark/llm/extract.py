@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import Vectors, leaf_blocks
-from .common import sliced, text_of
+from .common import released, sliced, text_of
 from .labeller import TRAINING_PAGES, Labeller, trained
 
 
@@ -37,4 +37,4 @@ def extract(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> DataFrame
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_of("html").alias("html"))
-    return rows.mapInArrow(run, "page_id bigint, url string, text string").withColumn("n_chars", F.char_length("text").cast("bigint"))
+    return rows.mapInArrow(released(run), "page_id bigint, url string, text string").withColumn("n_chars", F.char_length("text").cast("bigint"))

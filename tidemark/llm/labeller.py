@@ -171,12 +171,12 @@ LINES = [
 class PageMaker:
     """Writes pages and says which of their blocks are main text: main blocks carry a mark that is taken off again."""
 
-    MARK = ""
+    MARK = "\ue000"
 
     def __init__(self, seed: int):
         self.r = random.Random(seed)
         self.junk = ""
-        syllables = ["".join(self.r.choice("bcdfghklmnprstvwz") + self.r.choice("aeiouéö") for _ in range(1)) for _ in range(60)]
+        syllables = [self.r.choice("bcdfghklmnprstvwz") + self.r.choice("aeiouéö") for _ in range(60)]
         self.words = ["".join(self.r.choice(syllables) for _ in range(self.r.randint(1, 4))) for _ in range(3000)]
 
     def sentence(self, low: int = 3, high: int = 22) -> str:

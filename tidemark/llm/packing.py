@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ordered_layout, sliced, text_of
+from .common import ordered_layout, released, sliced, text_of
 from .tokens import WordEncoder
 
 CAPACITY = 4096
@@ -174,9 +174,10 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
 
         packer = Packer(TaskContext.get().partitionId() << 33, capacity, horizon)
         coder = WordEncoder.get(vocabulary)
-        for part in sliced(batches, "text", 8 << 20):
+        for part in sliced(batches, "text", 4 << 20):
             yield from packer.add(part.column(0), *coder.encode(part.column(1), end_id))
         yield from packer.flush(last=True)
+        coder.forget()
 
     rows = ordered_layout(docs.select("doc_id", text_of().alias("text")), F.col("doc_id").asc_nulls_first(), partitions=partitions)
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(released(run), PIECES)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, fresh_name, open_fs, ordered_layout, prefix_sum, scratch_path, shuffle_width, sliced, text_of
+from .common import cut, fresh_name, open_fs, ordered_layout, prefix_sum, released, scratch_path, shuffle_width, sliced, text_of
 from .tokens import WordEncoder, spread
 
 MAGIC = b"TPF1"
@@ -144,7 +144,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_I
 
         part, seq, file, done = TaskContext.get().partitionId(), 0, None, []
         coder = WordEncoder.get(vocabulary)
-        for run in sliced(batches, "text", 8 << 20):
+        for run in sliced(batches, "text", 4 << 20):
             ids, sizes, _, _ = coder.encode(run.column(1), end_id)
             file = file or TokenFile(folder, part, seq)
             file.add(run.column(0), ids, sizes)
@@ -153,13 +153,14 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_I
                 file, seq = None, seq + 1
         if file:
             done.append(file.close())
+        coder.forget()
         if done:
             names = ["part", "seq", "path", "n_docs", "n_ids"]
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
 
     rows = ordered_layout(docs.select("doc_id", text_of().alias("text")), F.col("doc_id").asc_nulls_first(), partitions=partitions)
-    return cut(rows.mapInArrow(write, MANIFEST))
+    return cut(rows.mapInArrow(released(write), MANIFEST))
 
 
 def file_parts(path: str, step: int = 1 << 21) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -210,7 +211,7 @@ def read_ids(manifest: DataFrame, partitions: int | None = None) -> DataFrame:
 
     files = prefix_sum(manifest, [("part", "asc"), ("seq", "asc")], {"n_ids": "upto"}, partitions=1)
     files = files.select("path", (F.col("upto") - F.col("n_ids")).alias("before"))
-    return files.repartition(partitions or shuffle_width(manifest.sparkSession), "path").mapInArrow(read, ROWS)
+    return files.repartition(partitions or shuffle_width(manifest.sparkSession), "path").mapInArrow(released(read), ROWS)
 
 
 def digest(docs: DataFrame, vocabulary: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:

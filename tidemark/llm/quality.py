@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACE, cut, let, text_of, words_of
+from .common import cut, let, text_of, words_of
 
 #: Characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"

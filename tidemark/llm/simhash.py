@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import cut, shuffle_width, sliced, text_of
+from .common import cut, released, shuffle_width, sliced, text_of
 from .components import connected_components
 
 BITS = 3
@@ -32,7 +32,7 @@ FAN = 8
 #: Entries of one group that a task searches; larger groups are dealt again.
 GROUP_LIMIT = 1 << 20
 #: Node pairs that are unfolded at once.
-STEP = 20_000
+STEP = 4_000
 
 
 def fingerprint(text: bytes, n: int = WORDS) -> int:
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, n: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(prints)], names=["doc_id", "text_hash", "fingerprint"])
 
     rows = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, fingerprint bigint")
+    return rows.mapInArrow(released(run), "doc_id bigint, text_hash bigint, fingerprint bigint")
 
 
 def gray_rank(words: np.ndarray) -> np.ndarray:
@@ -259,7 +259,7 @@ def links(entries: DataFrame, bits: int = BITS, limit: int = GROUP_LIMIT) -> Dat
 
     rows = dealt(entries, bits, limit).select("mask", F.col("word").bitwiseAND(F.col("mask")).alias("value"), "word")
     rows = rows.repartition(shuffle_width(entries.sparkSession), "mask", "value").sortWithinPartitions("mask", "value")
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return rows.mapInArrow(released(run), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, n: int = WORDS, limit: int = GROUP_LIMIT) -> DataFrame:

@@ -32,12 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import shuffle_width, sliced, text_of
+from .common import released, shuffle_width, sliced, text_of
 from .tokens import spread
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text that are hashed at once.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Entries of a new batch.
 BATCH = 1 << 16
 #: Rows drawn to find crowded grams, and different runs there that make one crowded.
@@ -302,7 +302,7 @@ def crowded_grams(rows: DataFrame, count: int, sample_rows: int = SAMPLE_ROWS, c
             for found in runs_of(part, np.empty(0, np.uint64)):
                 yield _batch("g h", [found["g"].view(np.int64), found["h"].view(np.int64)])
 
-    drawn = rows.sample(min(1.0, sample_rows / max(count, 1)), seed=3).mapInArrow(run, "g bigint, h bigint")
+    drawn = rows.sample(min(1.0, sample_rows / max(count, 1)), seed=3).mapInArrow(released(run), "g bigint, h bigint")
     many = drawn.groupBy("g").agg(F.approx_count_distinct("h").alias("n")).filter(F.col("n") >= crowded)
     return np.sort(np.array([r["g"] for r in many.select("g").collect()], np.int64).view(np.uint64))
 
@@ -333,7 +333,7 @@ def removals(docs: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, DataFr
             for rows in runs_of(part, crowd):
                 held.append(rows)
                 size += len(rows["k"])
-                if size >= 1 << 19:
+                if size >= 1 << 18:
                     yield from dealt()
                     held, size = [], 0
         if size:
@@ -347,8 +347,8 @@ def removals(docs: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, DataFr
                 gram = np.where(s["kind"] == PART, s["g"].view(np.int64), 0)
                 yield _batch("k d span gram part", [s["k"], s["d"], _span(s["at"], s["n"]), gram, s["kind"] == PART])
 
-    runs = plain.mapInArrow(collect_runs, "bucket bigint, blob binary").repartition(width, "bucket").sortWithinPartitions("bucket")
-    first = runs.mapInArrow(settle, "k bigint, d bigint, span bigint, gram bigint, part boolean")
+    runs = plain.mapInArrow(released(collect_runs), "bucket bigint, blob binary").repartition(width, "bucket").sortWithinPartitions("bucket")
+    first = runs.mapInArrow(released(settle), "k bigint, d bigint, span bigint, gram bigint, part boolean")
     entry = F.struct("span", "gram", "part")
     found = first.groupBy("k", "d").agg(F.collect_list(entry).alias("found"))
     dealt = plain.repartition(width, "k", "d")
@@ -372,9 +372,9 @@ def removals(docs: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, DataFr
                 k, d, at, n = (np.array(c, np.int64) for c in zip(*hits))
                 yield _batch("k d span", [k, d, _span(at, n)])
 
-    parts = dealt.join(found, ["k", "d"]).select("k", "d", "text", "found").mapInArrow(cut_parts, "gram bigint, k bigint, d bigint, span bigint, text binary")
+    parts = dealt.join(found, ["k", "d"]).select("k", "d", "text", "found").mapInArrow(released(cut_parts), "gram bigint, k bigint, d bigint, span bigint, text binary")
     buckets = parts.select(F.pmod("gram", F.lit(8 * width)).alias("bucket"), "k", "d", "span", "text")
-    second = buckets.repartition(4 * width, "bucket").sortWithinPartitions("bucket").mapInArrow(compare, "k bigint, d bigint, span bigint")
+    second = buckets.repartition(4 * width, "bucket").sortWithinPartitions("bucket").mapInArrow(released(compare), "k bigint, d bigint, span bigint")
     more = second.groupBy("k", "d").agg(F.collect_list("span").alias("more"))
     return dealt, found, more
 
@@ -417,7 +417,7 @@ def deduplicated(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     marks: Column = F.transform(F.filter("found", lambda e: ~e["part"]), lambda e: e["span"])
     rows = dealt.join(found, ["k", "d"], "left").join(more, ["k", "d"], "left").select("k", "d", "text", marks.alias("one"), "more")
     schema = "doc_id bigint, text_hash bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, starts array<bigint>, ends array<bigint>"
-    return rows.mapInArrow(apply, schema)
+    return rows.mapInArrow(released(apply), schema)
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -432,7 +432,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["__id", "__hash", "__text"])
 
     # One text for each id and text hash; unchanged documents keep theirs.
-    changed = deduplicated(docs).filter("n_removed > 0").select("doc_id", "text_hash", "kept").mapInArrow(decode, "__id bigint, __hash bigint, __text string")
+    changed = deduplicated(docs).filter("n_removed > 0").select("doc_id", "text_hash", "kept").mapInArrow(released(decode), "__id bigint, __hash bigint, __text string")
     changed = changed.dropDuplicates(["__id", "__hash"])
     own = docs.withColumn("__own", F.xxhash64(text_of()))
     rows = own.join(changed, own["doc_id"].eqNullSafe(changed["__id"]) & (own["__own"] == changed["__hash"]), "left")

@@ -22,8 +22,8 @@ import pyarrow.compute as pc
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PUNCTUATION = r"!-/:-@\[-`{-~"
 SENTENCE_END = r"[.!?…]+[\"')\]»”’]*$"
-#: Distinct pieces whose ids a worker keeps between batches.
-CACHE = 300_000
+#: Distinct pieces whose ids are kept from one batch of a task to the next, about.
+CACHE = 100_000
 
 
 class WordEncoder:
@@ -48,12 +48,14 @@ class WordEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    def forget(self) -> None:
+        self.kept = {"": ()}
+
     def _pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Ids of single pre-tokens in normal form."""
+        if len(self.kept) > CACHE:
+            self.forget()
         kept, tokenize, as_bytes = self.kept, self.model.tokenize, self.as_bytes
-        if len(kept) > CACHE:
-            kept.clear()
-            kept[""] = ()
         kept.update({p: tuple([t.id for t in tokenize(p if p.isascii() else p.translate(as_bytes))]) for p in pieces if p not in kept})
         return [kept[p] for p in pieces]
 

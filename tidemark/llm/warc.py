@@ -24,7 +24,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, fresh_name, open_fs, scratch_path, shuffle_width, sliced, text_of
+from .common import cut, fresh_name, open_fs, released, scratch_path, shuffle_width, sliced, text_of
 
 SKIPPABLE_INDEX = 0x184D2A50
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -202,7 +202,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["path", "n_records", "n_frames"])
 
-    return cut(rows.mapInArrow(write, MANIFEST))
+    return cut(rows.mapInArrow(released(write), MANIFEST))
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -237,7 +237,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                     yield batch(rows)
                 reader.close()
 
-    return manifest.select("path").repartition(shuffle_width(manifest.sparkSession), "path").mapInArrow(read, RECORDS)
+    return manifest.select("path").repartition(shuffle_width(manifest.sparkSession), "path").mapInArrow(released(read), RECORDS)
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
