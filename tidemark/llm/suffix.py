@@ -323,7 +323,7 @@ def removals(docs: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, DataFr
 
         def dealt() -> Iterator[pa.RecordBatch]:
             rows = combined(Rows.joined(held))
-            bucket = (rows["g"] % np.uint64(2 * width)).astype(np.int64)
+            bucket = (rows["g"] % np.uint64(8 * width)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0))
             parts = np.split(order, edges[1:])
