@@ -181,8 +181,9 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     under a new name; only complete bundles are listed.
     """
     rows = pages.select("page_id", "url", text_of("html").alias("html")).withColumn("__sha1", F.sha1("html"))
-    # Payloads that occur twice: combined before the shuffle, so a payload of many pages is one row a task.
-    held = rows.groupBy("__sha1").agg(F.max("page_id").alias("__holder"), F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    # Payloads that occur twice: combined before the shuffle, so a payload of many pages is one row a task.  Written, so
+    # that both sides of the join are plain shuffles and the pages of one payload can be split over tasks.
+    held = cut(rows.groupBy("__sha1").agg(F.max("page_id").alias("__holder"), F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n"))
     rows = rows.join(held, "__sha1", "left")
     rows = rows.select("page_id", "url", "html", "__holder", (F.col("__holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("__holder"))).alias("__revisit"))
 
