@@ -36,6 +36,30 @@ def test_blocks(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<video-player src=x>one</video-player><p>two", ["one", "two"]),
+        ("<audio-js>one</audio-js><object-viewer>two</object-viewer><template-part><p>three</p></template-part><TITLE-bar>four</TITLE-bar>", ["one", "two", "three", "four"]),
+        ("<style-guide>one</style-guide><style>p{}</style>two", ["one", "two"]),
+        ("<svg class='icon'/><p>one</p><svg viewBox='0 0 1 1' /><p>two</p><svg><text>no</text></svg>three<SVG/>", ["one", "two", "three"]),
+        ("<svg title='a/>b'><path/>no</svg>one<video>no</video><video\nsrc=x>no</video >two", ["onetwo"]),
+        ("<p>if <math display=block><mrow><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn></mrow></math> then</p><math/><p>so", ["if x2=4 then", "so"]),
+        ("<p>a <math><semantics><mi>y</mi><annotation-xml>z</annotation-xml></semantics></math> b", ["a yz b"]),
+    ],
+)
+def test_only_hidden_elements_are_dropped(page, want):
+    assert texts(page) == want
+
+
+def test_custom_elements_formulas_and_icons_stay_in_the_main_text(spark):
+    says = "Some words of a long article, with <math><mi>x</mi><mo>=</mo><mn>3</mn></math> inside. More words, and more."
+    nav, rest = "<nav><a href=x>Home</a></nav>", "<p>Again a paragraph with words.</p>" * 3
+    body = f"<svg class=icon /><article><h1>A title here</h1><p>{says}</p><video-player><p>{says}</p></video-player>{rest}</article>"
+    got = extract.extract(spark.createDataFrame([(1, "u", nav + body)], "page_id bigint, url string, html string")).first()["text"]
+    assert got == " ".join(["A title here", *2 * ["Some words of a long article, with x=3 inside. More words, and more."], *3 * ["Again a paragraph with words."]])
+
+
 def test_paths_and_links():
     blocks = leaf_blocks('<body><div class="side-bar X9" id=menu><a href=x>abc</a> de</div><div><p>x</div>y')
     assert blocks == [(("body", "div", ".side", ".bar", ".x", ".menu"), "abc de", 3), (("body", "div", "p"), "x", 0), (("body",), "y", 0)]

@@ -9,14 +9,18 @@ from zlib import crc32
 
 import numpy as np
 
+#: Elements of a formula; their text is text of the page.
+MATH = frozenset(
+    "math maction maligngroup malignmark menclose merror mfenced mfrac mglyph mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation annotation-xml".split()
+)
 #: Elements that do not end a block.
-INLINE = frozenset(
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
-HIDDEN = "script|style|noscript|template|title|svg|iframe|object|canvas|math|audio|video|head"
+HIDDEN = "script|style|noscript|template|title|svg|iframe|object|canvas|audio|video|head"
 #: An opening tag on the left ends open elements on the right, up to the nearest element of the last column.
 IMPLIED_END = {
     "p": ({"p"}, None), "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -26,7 +30,8 @@ ENDS_P = frozenset("address article aside blockquote div dl fieldset figure foot
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<hidden>(?:{HIDDEN.replace('|head', '')}))\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=hidden)\s*>|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"  # has no content
+    rf"|<(?P<hidden>(?:{HIDDEN.replace('|head', '')}))(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=hidden)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z!?][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
