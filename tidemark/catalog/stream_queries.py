@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import drift, monitor as mo, policy
-from ..session import scratch_path
+from ..session import scratch_path, shuffle_width
 from ..sources import store as st
 from ..streaming import streams as sm
 from .feature_queries import rounded
@@ -11,26 +11,41 @@ from .registry import query
 from .views import VIEWS, Tables
 
 
-#: Files of the event stream, in time order; each is a micro-batch.
-_FILES = 4
-_written: dict[tuple, str] = {}
+#: Micro-batches of the event stream, in time order.
+_BATCHES = 4
+_written: dict[tuple, tuple[str, int]] = {}
+
+
+def write_slices(events: DataFrame, path: str, late: bool = False) -> int:
+    """``events`` as files in time order; how many make a micro-batch: the session's shuffle width, written by as many tasks.
+
+    A slice is a quarter of the time span, its rows dealt over its files; where it has rows for fewer, empty files
+    fill it up.  With ``late``, a last slice brings the first hours once more, too late.  Rows without a time come in
+    the first slice.
+    """
+    n, spark = shuffle_width(events.sparkSession), events.sparkSession
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    ts, slices = F.col("ts"), [F.lit(True)]
+    if low is not None:
+        edges = [low + k * (high - low) / _BATCHES for k in range(1, _BATCHES)]
+        slices = [ts.isNull() | (ts < F.lit(edges[0]))]
+        slices += [(ts >= F.lit(a)) & (ts < F.lit(b)) for a, b in zip(edges, edges[1:])] + [ts >= F.lit(edges[-1])]
+        slices += [ts < F.lit(low) + F.expr("INTERVAL 3 HOUR")] if late else []
+    for k, here in enumerate(slices, 1):
+        events.filter(here).repartition(n).write.mode("append").parquet(path)
+        for _ in range(k * n - len(spark.read.parquet(path).inputFiles())):
+            events.filter(F.lit(False)).write.mode("append").parquet(path)
+    return n
 
 
 def _stream(t: Tables, late: bool = False) -> DataFrame:
-    """``events`` as a stream of one file after the other; with ``late``, the last file brings the first hours once more, too late."""
+    """``events`` as a stream of one slice after the other (``write_slices``)."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir, late)
     if key not in _written:
         path = scratch_path(t.spark, "event-files")
-        low, high = t.events.agg(F.min("ts"), F.max("ts")).first()
-        step = (high - low) / _FILES
-        for k in range(_FILES):
-            here = t.events.filter(F.col("ts") >= F.lit(low + k * step))
-            here = here.filter(F.col("ts") < F.lit(low + (k + 1) * step)) if k + 1 < _FILES else here
-            here.coalesce(1).write.mode("append").parquet(path)
-        if late:
-            t.events.filter(F.col("ts") < F.lit(low) + F.expr("INTERVAL 3 HOUR")).coalesce(1).write.mode("append").parquet(path)
-        _written[key] = path
-    return sm.file_stream(t.spark, _written[key], t.events.schema, files_per_batch=1)
+        _written[key] = path, write_slices(t.events, path, late)
+    path, n = _written[key]
+    return sm.file_stream(t.spark, path, t.events.schema, files_per_batch=n)
 
 
 def _view(t: Tables, name: str, **inputs: DataFrame) -> DataFrame:
