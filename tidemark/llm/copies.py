@@ -19,6 +19,8 @@ from .common import cut, released, scratch_path, sliced, text_of
 from .components import connected_components
 
 WORDS = 5
+#: Rows of text hashes that a task may hold to pick documents; more meet the texts in a shuffle.
+HELD = 1 << 20
 #: Similarity of near copies, as a fraction.
 SHARE = (4, 5)
 BANDS, ROWS = 20, 4
@@ -62,6 +64,11 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return both * SHARE[1] >= (len(a) + len(b) - both) * SHARE[0]
 
 
+def _light(hashes: DataFrame) -> DataFrame:
+    """``hashes``, sent to the tasks where they are few, so that the texts they pick are not shuffled."""
+    return F.broadcast(hashes) if hashes.count() <= HELD else hashes
+
+
 def _members(docs: DataFrame) -> DataFrame:
     """key, node (a text's hash): the keys of every text that has words."""
 
@@ -79,10 +86,10 @@ def _members(docs: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b: text hashes) of near copies."""
     spark = docs.sparkSession
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     own = docs.select(F.xxhash64(text_of()).alias("node"), text_of().alias("text"))
     path = scratch_path(spark, "near-copies")
-    own.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")).write.parquet(path)
+    own.join(_light(nodes), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")).write.parquet(path)
     texts = spark.read.parquet(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +147,5 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     gone = cut(rows.join(best, "root").filter("node != keep").select(F.col("node").alias("__gone")).distinct())
     if gone.isEmpty():
         return docs
-    path = scratch_path(docs.sparkSession, "without-copies")
     marked = docs.withColumn("__node", F.xxhash64(text_of()))
-    marked.join(gone, marked["__node"] == gone["__gone"], "left_anti").drop("__node").write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return marked.join(_light(gone), marked["__node"] == gone["__gone"], "left_anti").drop("__node")
