@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import extract, mixing, packing, pfor, quality, sharding, simhash, sketch, suffix, warc
+from . import extract, merkle, mixing, packing, pfor, quality, sharding, simhash, sketch, suffix, warc
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -77,3 +77,8 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.assign(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+@query("op13_merkle", merkle.ORACLE_SQL)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
