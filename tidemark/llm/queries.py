@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import extract, merkle, mixing, packing, pfor, quality, sharding, simhash, sketch, suffix, warc, whitening
+from . import collisions, extract, merkle, mixing, packing, pfor, quality, sharding, simhash, sketch, suffix, warc, whitening
 from .common import TOKENIZER, table
 from .tokens import vocabulary
 
@@ -79,6 +79,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
 
 
+@query("op11_collisions", collisions.ORACLE_SQL)
+def op11_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
