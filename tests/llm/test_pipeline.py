@@ -3,9 +3,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from test_copies import joint_kept
 from test_mixing_sharding import plain_targets, size
 from test_quality_sketch import features
-from test_simhash import classes, plain_print
 from test_suffix import plain
 from test_tokens_files_packing import plain_ids
 
@@ -34,14 +34,11 @@ def test_quality(stages):
 
 
 def test_near_duplicates(stages):
+    """One document of each group that three-bit fingerprints or a five-word similarity of 0.8 connect."""
     before, after = triples(stages[1]), triples(stages[2])
-    prints = {d: plain_print(t) for d, t, _ in before}
-    words = sorted(set(prints.values()))
-    label = dict(zip(words, classes(words, lambda a, b: (a ^ b).bit_count() <= 3)))
-    low = {}
-    for d, p in prints.items():
-        low[label[p]] = min(d, low.get(label[p], d))
-    assert Counter(after) == Counter(t for t in before if t[0] in low.values())
+    kept = joint_kept(before)
+    assert Counter(after) == Counter(t for t in before if t[0] in kept)
+    assert len(kept) < len({d for d, _, _ in before})
 
 
 def test_passages(stages):

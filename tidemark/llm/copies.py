@@ -1,31 +1,44 @@
-"""Near copies by five-word shingles, for the pipeline (operator 4 has rules of its own).
+"""Near copies by five-word shingles, for the pipeline (operator 4's query has rules of its own).
 
-Two documents are near copies where their sets of five-word shingles have a
-similarity (common over all) of ``SHARE`` or more.  ``BANDS`` keys of
-``ROWS`` MinHash values each propose pairs: a pair of similarity 0.8 shares
-no key in 3 cases of 100,000, a closer pair in fewer.  Proposed pairs are
-confirmed on their texts.
+Two texts are near copies where their sets of five-word shingles have a
+similarity (common over all) of ``SHARE`` or more.  ``BANDS`` keys of ``ROWS``
+MinHash values each bring texts together: a pair of similarity 0.8 shares no
+key in 2 cases of 10,000, one of 0.85 in 2 of a million.  What a key brings
+together is compared on the sets themselves, which are written once for the
+texts that share a key.  A task compares one key's texts, or two parts of them
+where they are many, and returns one row for each text: the root it is linked
+to.  It skips pairs that are connected already, so the texts of one dense
+group cost little more than one comparison each; no pairs are ever rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import cut, released, scratch_path, sliced, text_of
+from . import simhash
+from .common import cut, released, scratch_path, shuffle_width, sliced, text_of
 from .components import connected_components
 
 WORDS = 5
-#: Rows of text hashes that a task may hold to pick documents; more meet the texts in a shuffle.
+#: Rows of 24 bytes (two text hashes and a number) that a task may hold to pick documents; more meet the texts in a shuffle.
 HELD = 1 << 20
 #: Similarity of near copies, as a fraction.
 SHARE = (4, 5)
-BANDS, ROWS = 20, 4
-_FACTORS = np.random.default_rng(7).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+BANDS, ROWS = 28, 6
+#: Bands whose keys are compared first; the others then have few unconnected texts left.
+FIRST_BANDS = 7
+#: Texts, and shingles, that a task compares at once.
+PART, PART_SHINGLES = 2048, 1 << 22
+_RNG = np.random.default_rng(7)
+_FACTORS, _ADDED = (_RNG.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32) for _ in range(2))
+_FACTORS |= np.uint32(1)
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
+_SEED = 23
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -50,18 +63,51 @@ def shingles(text: bytes, n: int = WORDS) -> np.ndarray:
 
 def keys(hashes: np.ndarray) -> np.ndarray:
     """The keys of a document by which near copies meet."""
-    low = np.full(BANDS * ROWS, ~np.uint64(0))
-    for k in range(0, len(hashes), 2048):
-        low = np.minimum(low, (_FACTORS[:, None] * hashes[None, k : k + 2048]).min(axis=1))
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    low = np.full(BANDS * ROWS, ~np.uint32(0))
+    for k in range(0, len(short), 1024):
+        low = np.minimum(low, (_FACTORS[:, None] * short[None, k : k + 1024] + _ADDED[:, None]).min(axis=1))
     out = np.arange(BANDS, dtype=np.uint64)
     for row in low.reshape(BANDS, ROWS).T:
         out = _mixed(out * _STEP + row)
     return out
 
 
-def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both * SHARE[1] >= (len(a) + len(b) - both) * SHARE[0]
+def connected(sets: np.ndarray, ends: np.ndarray, root: np.ndarray, part: np.ndarray | None = None) -> np.ndarray:
+    """Class of each set: sets of equal ``root`` are one class, and near copies join theirs.
+
+    ``sets`` holds the sets one after the other, up to ``ends``.  With
+    ``part``, only sets of different parts are compared.  A set that is
+    compared meets all sets of other classes at once.  Of two classes that
+    stay apart all sets of at least one have been compared, so no link is
+    missed; the sets of the last open class need no comparison.
+    """
+    n = len(ends)
+    starts = np.concatenate([[0], ends[:-1]])
+    size = ends - starts
+    kinds, ids = np.unique(sets, return_inverse=True)
+    _, label = np.unique(root, return_inverse=True)
+    flag, open_ = np.zeros(len(kinds), np.int32), np.ones(n, bool)
+    while True:
+        left = np.bincount(label[open_], minlength=n)
+        classes = np.flatnonzero(left)
+        if len(classes) < 2:
+            return label
+        x = np.flatnonzero(open_ & (label == classes[left[classes].argmin()]))[0]
+        open_[x] = False
+        other = label != label[x]
+        if part is not None:
+            other &= part != part[x]
+        other &= (size * SHARE[1] >= size[x] * SHARE[0]) & (size[x] * SHARE[1] >= size * SHARE[0])
+        if not other.any():
+            continue
+        own = ids[starts[x] : ends[x]]
+        flag[own] = 1
+        both = np.add.reduceat(flag[ids], starts)
+        flag[own] = 0
+        near = other & (both * SHARE[1] >= (size + size[x] - both) * SHARE[0])
+        if near.any():
+            label[np.isin(label, label[near])] = label[x]
 
 
 def _light(hashes: DataFrame) -> DataFrame:
@@ -69,83 +115,144 @@ def _light(hashes: DataFrame) -> DataFrame:
     return F.broadcast(hashes) if hashes.count() <= HELD else hashes
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """text and its 128-bit identity h1, h2 of ``docs``."""
+    return docs.select(*identity(), text_of().alias("text"))
+
+
+def identity():
+    return F.xxhash64(text_of()).alias("h1"), F.xxhash64(F.lit(_SEED), text_of()).alias("h2")
+
+
 def _members(docs: DataFrame) -> DataFrame:
-    """key, node (a text's hash): the keys of every text that has words."""
+    """band, key, h1, h2: the keys of every text that has words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, "text", 4 << 20):
-            texts, node = part.column(1).cast(pa.binary()), part.column(0).to_numpy()
+            texts = part.column(2).cast(pa.binary())
             found = [(i, keys(h)) for i, t in enumerate(texts) if len(h := shingles(t.as_py()))]
             if found:
-                nodes = np.repeat(node[[i for i, _ in found]], BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for _, k in found]).view(np.int64)), pa.array(nodes)], names=["key", "node"])
+                at = pa.array(np.repeat([i for i, _ in found], BANDS))
+                band = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(found)))
+                key = pa.array(np.concatenate([k for _, k in found]).view(np.int64))
+                yield pa.RecordBatch.from_arrays([band, key, part.column(0).take(at), part.column(1).take(at)], names=["band", "key", "h1", "h2"])
 
-    return docs.select(F.xxhash64(text_of()).alias("node"), text_of().alias("text")).mapInArrow(released(run), "key bigint, node bigint")
+    return _named(docs).mapInArrow(released(run), "band int, key bigint, h1 bigint, h2 bigint")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b: text hashes) of near copies."""
-    spark = docs.sparkSession
-    nodes = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    own = docs.select(F.xxhash64(text_of()).alias("node"), text_of().alias("text"))
-    path = scratch_path(spark, "near-copies")
-    own.join(_light(nodes), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")).write.parquet(path)
-    texts = spark.read.parquet(path)
+def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """entry, hashes, size: the shingles of the texts of ``nodes`` (entry, h1, h2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            left, right = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
-            hits = []
-            for i in range(len(a)):
-                if b[i] != last:
-                    last, held = b[i], shingles(right[i].as_py())
-                if alike(shingles(left[i].as_py()), held):
-                    hits.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in hits], pa.int64()), pa.array([b[i] for i in hits], pa.int64())], names=["a", "b"])
-
-    rows = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    rows = rows.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    return cut(rows.select("a", "b", "left", "right").mapInArrow(released(run), "a bigint, b bigint"))
-
-
-def links(docs: DataFrame) -> DataFrame:
-    """a, b (text hashes): confirmed pairs that connect all near copies that share a key.
-
-    Every member of a key is compared with the key's smallest and largest
-    text hash first; then all pairs that these links leave in different
-    groups are compared, so no proposed pair is left out.  Their number grows
-    with the square of a key's members that are not near copies of each other.
+        for part in sliced(batches, "text", 4 << 20):
+            found = [shingles(t.as_py()).view(np.int64) for t in part.column(1).cast(pa.binary())]
+            flat = pa.LargeListArray.from_arrays(np.cumsum([0, *map(len, found)]), np.concatenate(found)).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), flat], names=["entry", "hashes"])
+
+    rows = _named(docs).join(_light(nodes), ["h1", "h2"]).select("entry", "text").mapInArrow(released(run), "entry bigint, hashes array<bigint>")
+    return rows.groupBy("entry").agg(F.first("hashes").alias("hashes")).withColumn("size", F.size("hashes"))
+
+
+def _compare(key: tuple, group: pa.Table) -> pa.Table:
+    """For ``applyInArrow``: one part of a key's texts, or two, as a, b: each text with the text that stands for its class."""
+    group = group.combine_chunks()
+    entry, root, part = (group.column(c).to_numpy() for c in ("entry", "root", "part"))
+    lists = group.column("hashes").combine_chunks()
+    label = connected(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy()), root, part if key[1] != key[2] else None)
+    _, first, place = np.unique(label, return_index=True, return_inverse=True)
+    stands = entry[first][place]
+    moved = stands != entry
+    return pa.table({"a": pa.array(entry[moved]), "b": pa.array(stands[moved])})
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table and read again.
+
+    A checkpoint keeps what the optimizer has inferred about its columns, and
+    rounds of joins on joins would multiply that; a table does not.
     """
+    path = scratch_path(df.sparkSession, "near-copies")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _compared(placed: DataFrame, sets: DataFrame, across: bool, width: int) -> DataFrame:
+    """a, b: links among the texts of each key of ``placed`` (key, entry, root, parts, part): inside each part, or ``across`` two parts."""
+    if across:
+        rows = placed.filter("parts > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).filter("other != part")
+    else:
+        rows = placed.withColumn("other", F.col("part"))
+    rows = rows.select("key", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "entry", "root")
+    rows = rows.join(sets.select("entry", "hashes"), "entry").repartition(width, "key", "first", "second")
+    return _stored(rows.groupBy("key", "first", "second").applyInArrow(_compare, "a bigint, b bigint"))
+
+
+def _open(placed: DataFrame, roots: DataFrame | None, sizes: DataFrame, part: int) -> DataFrame:
+    """key, entry, root, parts, part of the keys of ``placed`` (key, entry) whose texts are not all connected; of keys with the same texts one."""
+    rows = placed.join(sizes, "entry")
+    rows = rows.withColumn("root", F.col("entry")) if roots is None else rows.join(roots.withColumnRenamed("node", "entry"), "entry", "left")
+    rows = _stored(rows.select("key", "entry", F.coalesce("root", "entry").alias("root"), "size"))
+    mark = F.xxhash64("entry")
+    groups = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s"),
+    )
+    groups = groups.filter("low != high").groupBy("n", "x", "s").agg(F.min("key").alias("key"), F.first("total").alias("total"))
+    parts = F.greatest(F.ceil(F.col("n") / part), F.ceil(F.col("total") / PART_SHINGLES)).cast("int")
+    groups = _stored(groups.select("key", parts.alias("parts")))
+    return _stored(rows.join(groups, "key").select("key", "entry", "root", "parts", F.pmod(F.xxhash64("entry", F.lit(5)), F.col("parts")).cast("int").alias("part")))
+
+
+def links(docs: DataFrame, part: int = PART) -> DataFrame:
+    """h1, h2, root: the texts that near copies of ``docs`` connect with others, equal root where connected."""
+    spark = docs.sparkSession
+    width = shuffle_width(spark)
     members = cut(_members(docs))
-    ends = cut(members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high"))
-    shared = cut(members.join(ends, "key").distinct())
-    edges = shared.select(F.explode(F.array("low", "high")).alias("b"), F.col("node").alias("a")).filter("a != b")
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    first = _confirmed(edges, docs)
-    roots = connected_components(first)
-    placed = cut(shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-    open_ = cut(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key"))
-    rest = cut(placed.join(open_, "key"))
-    a, b = rest.select("key", F.col("node").alias("a"), F.col("root").alias("x")), rest.select("key", F.col("node").alias("b"), F.col("root").alias("y"))
-    pairs = a.join(b, "key").filter("a > b and x != y").select("a", "b").distinct()
-    pairs = cut(pairs.join(edges, ["a", "b"], "left_anti"))
-    return first.unionAll(_confirmed(pairs, docs))
-
-
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with one text of each group that near copies connect: that of the smallest doc_id (null last), then text hash.
-
-    Rows of the text that stays all stay, also repeated ones; null and empty
-    texts have no words and stay; all columns stay.
+    name = F.struct("h1", "h2")
+    ends = members.groupBy("key").agg(F.min(name).alias("low"), F.max(name).alias("high")).filter("low != high").select("key")
+    shared = cut(members.join(cut(ends), "key").distinct())
+    nodes = cut(shared.select("h1", "h2").distinct().withColumn("entry", F.monotonically_increasing_id()))
+    sets = cut(_sets(docs, nodes))
+    sizes = _stored(sets.select("entry", "size"))
+    placed = _stored(shared.join(nodes, ["h1", "h2"]).select("band", "key", "entry"))
+    edges, roots = [], None
+    for bands in (f"band < {FIRST_BANDS}", f"band >= {FIRST_BANDS}"):
+        batch = placed.filter(bands).select("key", "entry")
+        rows = _open(batch, roots, sizes, part)
+        edges.append(_compared(rows, sets, False, width))
+        roots = connected_components(reduce(DataFrame.unionAll, edges))
+        if not rows.filter("parts > 1").isEmpty():
+            rows = _open(rows.select("key", "entry"), roots, sizes, part)
+            edges.append(_compared(rows, sets, True, width))
+            roots = connected_components(reduce(DataFrame.unionAll, edges))
+    return nodes.join(roots, nodes["entry"] == roots["node"]).select("h1", "h2", "root")
+
+
+def deduplicate(docs: DataFrame, part: int = PART) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the smallest doc_id (null last), then text hash; all columns stay.
+
+    Documents are connected where their SimHash fingerprints link (operator
+    4's rule: three-word shingles, three bits) or their five-word similarity
+    is 0.8 or more.  Null and empty texts have equal fingerprints and are one
+    group; equal rows are one group; no rows give no rows.
     """
-    nodes = connected_components(links(docs))
-    own = docs.select("doc_id", F.xxhash64(text_of()).alias("__node"))
-    rows = cut(own.join(nodes, own["__node"] == nodes["node"]).select("doc_id", "node", "root"))
-    best = cut(rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "node")).alias("best")).select("root", F.col("best.node").alias("keep")))
-    gone = cut(rows.join(best, "root").filter("node != keep").select(F.col("node").alias("__gone")).distinct())
-    if gone.isEmpty():
-        return docs
-    marked = docs.withColumn("__node", F.xxhash64(text_of()))
-    return marked.join(_light(gone), marked["__node"] == gone["__gone"], "left_anti").drop("__node")
+    rows = simhash.near_duplicates(docs)
+    near = links(docs, part)
+    # Classes of fingerprints that a group of near copies touches become one.
+    named = cut(rows.join(near, (rows["text_hash"] == near["h1"]) & (rows["other_hash"] == near["h2"])).select("root", "component").distinct())
+    lows = cut(named.groupBy("root").agg(F.min("component").alias("low")))
+    tops = connected_components(_stored(named.join(lows, "root").select(F.col("component").alias("a"), F.col("low").alias("b"))))
+    tops = tops.select(F.col("node").alias("__node"), F.col("root").alias("__top"))
+    groups = rows.join(tops, rows["component"] == tops["__node"], "left").withColumn("group", F.coalesce("__top", "component"))
+    # A minimum, combined before the shuffle, picks the row of each group; groups are never sorted.
+    key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "other_hash")
+    best = cut(groups.groupBy("group").agg(F.min(key).alias("best")).select("best.doc_id", "best.text_hash", "best.other_hash").distinct())
+    best = best.toDF("__best", "__h1", "__h2")
+    one, two = identity()
+    own = docs.withColumn("__one", one).withColumn("__two", two)
+    kept = own.join(best, own["doc_id"].eqNullSafe(best["__best"]) & (own["__one"] == best["__h1"]) & (own["__two"] == best["__h2"]), "left_semi")
+    # Equal rows share id and hashes; one of them stays.
+    if own.groupBy("doc_id", "__one", "__two").count().filter("count > 1").isEmpty():
+        return kept.drop("__one", "__two")
+    first = Window.partitionBy("doc_id", "__one", "__two").orderBy(F.lit(0))
+    return kept.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n", "__one", "__two")

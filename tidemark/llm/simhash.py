@@ -58,16 +58,16 @@ def fingerprint(text: bytes, n: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """doc_id, text_hash and fingerprint (bigint) of every row of ``docs`` (doc_id, text); null texts are empty."""
+    """doc_id, text_hash, other_hash (together the text's identity) and fingerprint (bigint) of every row of ``docs`` (doc_id, text); null texts are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, "text", 8 << 20):
-            texts = part.column(2).cast(pa.binary())
+            texts = part.column(3).cast(pa.binary())
             prints = np.fromiter((fingerprint(t.as_py(), n) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(prints)], names=["doc_id", "text_hash", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(prints)], names=["doc_id", "text_hash", "other_hash", "fingerprint"])
 
-    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
-    return rows.mapInArrow(released(run), "doc_id bigint, text_hash bigint, fingerprint bigint")
+    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), F.xxhash64(F.lit(23), text_of()).alias("other_hash"), text_of().alias("text"))
+    return rows.mapInArrow(released(run), "doc_id bigint, text_hash bigint, other_hash bigint, fingerprint bigint")
 
 
 def gray_rank(words: np.ndarray) -> np.ndarray:
@@ -263,7 +263,7 @@ def links(entries: DataFrame, bits: int = BITS, limit: int = GROUP_LIMIT) -> Dat
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, n: int = WORDS, limit: int = GROUP_LIMIT) -> DataFrame:
-    """doc_id, text_hash, fingerprint, component (a fingerprint, bigint like it) and component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, text_hash, other_hash, fingerprint, component (a fingerprint, bigint like it) and component_id of every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id that links of at most ``bits``
     differing bits reach, the row's own included; null where all reached ids
