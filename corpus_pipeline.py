@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import copies, mixing, packing, quality, simhash, suffix
+from tidemark.llm import copies, mixing, packing, quality, suffix
 from tidemark.llm.common import TOKENIZER, scratch_path, table, text_of
 from tidemark.llm.tokens import vocabulary
 
@@ -20,18 +20,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.deduplicate(docs)
+    """One document of each group that fingerprints (three bits) or five-word similarity (0.8 or more) connect."""
+    return copies.deduplicate(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without near copies and passages that occur earlier; what is left without a word goes.
-
-    Near copies (five-word similarity of 0.8 or more) that the fingerprints of
-    the stage before did not link go as whole documents, before passages are
-    compared: else they would be left as scraps.  ``n_chars`` follows the text.
-    """
-    rest = suffix.cleaned(copies.deduplicate(docs)).filter(F.btrim(text_of(), F.lit(" \t\n\x0b\f\r")) != "")
+    """The documents without passages that occur earlier; what is left without a word goes.  ``n_chars`` follows the text."""
+    rest = suffix.cleaned(docs).filter(F.btrim(text_of(), F.lit(" \t\n\x0b\f\r")) != "")
     return rest.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rest
 
 
