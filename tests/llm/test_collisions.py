@@ -70,7 +70,7 @@ def test_against_all_pairs(spark, dim):
 def test_dealt_into_blocks(spark):
     """Many small blocks in several tables: no pair counts twice and next to none is lost."""
     rows = clusters(60, 64, 3)
-    got, want = run(spark, rows, block=64), plain(rows)
+    got, want = run(spark, rows, block=64, whole=1), plain(rows)
     links = [sum(n * c for (_, n, _, _), c in x.items()) for x in (got, want)]
     assert 0.999 * links[1] <= links[0] <= links[1]
     assert sum((got & want).values()) >= 0.99 * len(rows)
@@ -82,7 +82,7 @@ def test_one_dense_block(spark):
     centre = rng.normal(size=32)
     rows = [(k, (centre + rng.normal(size=32) * 0.14).tolist(), 1) for k in range(400)]
     rows += [(1000 + k, rows[0][1], 1) for k in range(300)]
-    assert run(spark, rows, block=50) == plain(rows)
+    assert run(spark, rows, block=50, whole=1) == plain(rows)
 
 
 def test_parts_and_blocks_agree():
@@ -131,6 +131,6 @@ def test_recall_on_given_vectors(spark):
     for g in {r[2] for r in rows}:
         x = collisions.unit(np.array([r[1] for r in rows if r[2] == g], np.float32))
         want += int((x @ x.T >= 0.98).sum()) - len(x)
-    for block in (collisions.BLOCK, 200):
-        got = sum(r["n_links"] for r in collisions.near_duplicates(spark.read.parquet("/root/testdata/check_s/embeddings.parquet"), block=block).collect())
+    for block, whole in ((collisions.BLOCK, collisions.WHOLE), (200, 1)):
+        got = sum(r["n_links"] for r in collisions.near_duplicates(spark.read.parquet("/root/testdata/check_s/embeddings.parquet"), block=block, whole=whole).collect())
         assert 0.999 * want <= got <= want

@@ -8,7 +8,7 @@ a known distribution; the count that a pair must pass is its quantile of
 ``MISSED``.  Pairs that pass are verified by their cosine in double precision.
 
 Only pairs that can meet in a block are counted.  A group (equal label and
-length) of more than ``BLOCK`` vectors is dealt into blocks by the sides of
+length) of more than ``WHOLE * BLOCK`` vectors is dealt into blocks by the sides of
 further random lines through a block's mean, again and again until blocks are
 small, in as many independent tables as the same ``MISSED`` asks for; a pair
 that meets in several tables counts in the first.  A large block whose vectors
@@ -38,7 +38,9 @@ WINDOW = 2.0
 #: Share of pairs at the threshold that the count may miss, and that the tables may.
 MISSED = 1e-5
 #: Vectors of a block that one task compares.
-BLOCK = 4096
+BLOCK = 2048
+#: Groups of at most so many blocks are compared whole, part by part: dealing them into several tables would cost more.
+WHOLE = 8
 #: Mean squared distance from a block's mean (unit vectors: 1 at most) below which a block is not halved.
 SPREAD = 0.3
 SEED = 11
@@ -214,19 +216,23 @@ def _halved(rows: DataFrame) -> DataFrame:
     return out.select("table", "entry", F.xxhash64("block", "depth", "side").alias("block"), "depth")
 
 
-def dealt(entries: DataFrame, block: int = BLOCK, cosine: float = COSINE, missed: float = MISSED) -> DataFrame:
-    """table, entry, block: ``entries`` (entry, label, v) in each table of their group, blocks of at most ``block`` where they can be split."""
+def dealt(entries: DataFrame, block: int = BLOCK, cosine: float = COSINE, missed: float = MISSED, whole: int = WHOLE) -> DataFrame:
+    """table, entry, block: ``entries`` (entry, label, v) in each table of their group, blocks of at most ``block`` where they can be split.
+
+    Groups of at most ``whole * block`` are one table and one block.
+    """
     group = F.xxhash64("label", F.size("v"))
     groups = cut(entries.withColumn("group", group).groupBy("group").agg(F.count(F.lit(1)).alias("n")))
     most = groups.agg(F.max("n").alias("n")).first()["n"] or 0
     steps = [block << k for k in range(max(0, math.ceil(math.log2(max(1, most) / block))) + 1)]
     tables = F.lit(1)
     for size in steps[1:]:
-        tables = F.when(F.col("n") > size // 2, tables_for(size, block, cosine, missed)).otherwise(tables)
-    own = entries.select("entry", group.alias("group")).join(groups.select("group", tables.alias("tables")), "group")
-    rows = own.select(F.explode(F.sequence(F.lit(0), F.col("tables") - 1)).alias("table"), "entry", "group")
-    rows = cut(rows.select("table", "entry", F.xxhash64("group", "table").alias("block"), F.lit(0).alias("depth")))
-    done, vectors = [], entries.select("entry", "v")
+        tables = F.when(F.col("n") > max(size // 2, whole * block), tables_for(size, block, cosine, missed)).otherwise(tables)
+    own = entries.select("entry", group.alias("group")).join(groups.select("group", "n", tables.alias("tables")), "group")
+    rows = own.select(F.explode(F.sequence(F.lit(0), F.col("tables") - 1)).alias("table"), "entry", "group", "n")
+    rows = cut(rows.select("table", "entry", F.xxhash64("group", "table").alias("block"), F.lit(0).alias("depth"), (F.col("n") <= whole * block).alias("small")))
+    done, vectors = [rows.filter("small").select("table", "entry", "block")], entries.select("entry", "v")
+    rows = rows.filter("not small").drop("small")
     while True:
         sizes = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block).select("block")
         sizes = cut(sizes)
@@ -265,6 +271,7 @@ def near_duplicates(
     label_column: str = "label",
     block: int = BLOCK,
     missed: float = MISSED,
+    whole: int = WHOLE,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors``.
 
@@ -282,7 +289,7 @@ def near_duplicates(
         F.first("label").alias("label"), F.first("v").alias("v"), F.min("id").alias("low"), F.count(F.lit(1)).alias("weight")
     )
     entries = cut(entries.withColumn("entry", F.monotonically_increasing_id()))
-    places = dealt(entries, block, cosine, missed)
+    places = dealt(entries, block, cosine, missed, whole)
     # The blocks of an entry in all tables (a fixed few), by which a pair is counted in its first common one.
     blocks = cut(places.groupBy("entry").agg(F.sort_array(F.collect_list(F.struct("table", "block")))["block"].alias("blocks")))
     sizes = cut(places.groupBy("table", "block").agg(F.count(F.lit(1)).alias("n")))
