@@ -1,8 +1,9 @@
 """Queries that split, train, calibrate and score. Model outputs have no SQL form; the split has."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import metrics as mx, models as md
+from ..operators import metrics as mx, models as md, trees as tr
 from ..plans import churn as plan
 from ..session import cut
 from .feature_queries import SAAS_AS_OFS, TRAINING_SQL
@@ -139,3 +140,57 @@ def search_logistic(t: Tables) -> DataFrame:
     best, tried = md.search(_part(rows, "train", "validation"), plan.FEATURES, "churn", {"regParam": [0.0, 0.01, 0.1, 1.0]})
     weights = md.linear_weights(best, plan.FEATURES)
     return t.spark.createDataFrame([(k, v == v and abs(v) < float("inf")) for k, v in weights.items()], "feature string, finite boolean").withColumn("tried", F.lit(len(tried)))
+
+
+#: Ensembles that the contribution queries explain: kind and settings.
+_EXPLAINED = {"boosted": {"maxIter": 20}, "forest": {"numTrees": 20, "maxDepth": 8}}
+_KINDS = "(SELECT unnest(['boosted', 'forest']) AS kind)"
+
+
+def _explained(t: Tables):
+    """kind, model and held-out rows with score, contributions and bias."""
+    rows = _training(t)
+    seen, held = _part(rows, "train", "validation"), _part(rows, "test")
+    for kind, settings in _EXPLAINED.items():
+        model = md.train(kind, seen, plan.FEATURES, "churn", **settings)
+        found = tr.ensemble(model)
+        scored = model.transform(held.withColumn("weight", F.lit(1.0)))
+        score = vector_to_array("rawPrediction" if kind == "boosted" else "probability")[1]
+        wide = tr.with_contributions(scored.select("account_id", "as_of_time", "churn", *plan.FEATURES, score.alias("score")), found, plan.FEATURES)
+        yield kind, model, wide.withColumn("bias", F.lit(found.bias)).withColumn("kind", F.lit(kind))
+
+
+@query(
+    "tree_contributions", _VIEWS,
+    f"WITH {_TEST} SELECT kind, account_id, as_of_time, {len(plan.FEATURES)} AS n_features, TRUE AS adds_up, TRUE AS rows_differ FROM test, {_KINDS}",
+)
+def tree_contributions(t: Tables) -> DataFrame:
+    """Bias and contributions of every held-out row are its score; a model of one value for all rows would have no contribution anywhere."""
+    out = None
+    for _, _, rows in _explained(t):
+        total = F.col("bias") + F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c)
+        rows = cut(rows)
+        moved = rows.agg(F.max(F.aggregate("contributions", F.lit(0.0), lambda a, c: a + F.abs(c))).alias("most")).first()["most"] or 0.0
+        one = rows.select(
+            "kind", "account_id", "as_of_time", F.size("contributions").alias("n_features"), (F.abs(total - F.col("score")) < 1e-9).alias("adds_up"),
+            F.lit(moved > 1e-6).alias("rows_differ"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "tree_importance", _VIEWS,
+    "SELECT kind, unnest([" + ", ".join(f"'{f}'" for f in plan.FEATURES) + f"]) AS feature, TRUE AS sums_to_one, TRUE AS unused_is_zero FROM {_KINDS}",
+)
+def tree_importance(t: Tables) -> DataFrame:
+    """Impurity importance sums to one over the features; a feature without any has no contribution in any row."""
+    out = None
+    for kind, model, rows in _explained(t):
+        gains = md.tree_importance(model, plan.FEATURES)
+        whole = F.lit(abs(sum(gains.values()) - 1) < 1e-9)
+        means = rows.select(F.inline(tr.ordered(F.col("contributions"), plan.FEATURES))).groupBy("feature").agg(F.max("importance").alias("most"))
+        unused = [f for f, g in gains.items() if g == 0]
+        one = means.select(F.lit(kind).alias("kind"), "feature", whole.alias("sums_to_one"), (~F.col("feature").isin(unused) | (F.col("most") == 0)).alias("unused_is_zero"))
+        out = one if out is None else out.unionByName(one)
+    return out
