@@ -143,7 +143,8 @@ def test_answers_citations_and_scores(spark):
 
 def test_hard_set_needs_enough_rows(spark):
     df = spark.range(30).select(F.concat(F.lit("r"), "id").alias("request_id"), F.when(F.col("id") < 15, 1).otherwise(5).alias("rating"), F.lit(None).cast("double").alias("faithfulness"))
-    assert an.hard_set(df).count() == 0
+    assert an.hard_set(df, min_count=20, max_count=500).count() == 0
+    assert an.hard_set(df).count() == an.hard_set(df, min_count=1).count() > an.hard_set(df, max_count=3).count() == 3
     assert an.hard_set(df, min_count=10, max_count=12).count() == 12
 
 

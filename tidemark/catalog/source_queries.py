@@ -153,7 +153,7 @@ def feedback_append(t: Tables) -> DataFrame:
 )
 def hard_set_jsonl(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "hard")
-    st.write_json(an.hard_set(t.feedback_v), path)
+    st.write_json(an.hard_set(t.feedback_v, min_count=20, max_count=500), path)
     rows = t.spark.read.schema("request_id string, rating int, faithfulness double").json(path)
     return rows.groupBy("rating").agg(F.count(F.lit(1)).alias("n"))
 

@@ -151,13 +151,17 @@ def slo_windows(t: Tables) -> DataFrame:
     return rounded(mo.slo_alerts(mo.slo_windows(t.audit_v, method="exact")), "error_rate", "p95_ms")
 
 
-@query(
-    "rollback_runs", "audit_v",
-    f"""WITH {_WIN}, h AS (SELECT *, p95_ms > CASE domain WHEN 'churn' THEN 240 ELSE 160 END AS slow, error_rate > 0.01 AS bad, lag(window_start) OVER (PARTITION BY domain ORDER BY window_start) AS prev FROM slo),
+#: Streaks of slow and of failing minutes over ``slo`` (domain, window_start, p95_ms, error_rate), as ``r``.
+STREAKS = """h AS (SELECT *, p95_ms > CASE domain WHEN 'churn' THEN 240 ELSE 160 END AS slow, error_rate > 0.01 AS bad, lag(window_start) OVER (PARTITION BY domain ORDER BY window_start) AS prev FROM slo),
       g AS (SELECT *, sum(CASE WHEN slow AND prev + INTERVAL 1 MINUTE = window_start THEN 0 ELSE 1 END) OVER w AS gs, sum(CASE WHEN bad AND prev + INTERVAL 1 MINUTE = window_start THEN 0 ELSE 1 END) OVER w AS gb
         FROM h WINDOW w AS (PARTITION BY domain ORDER BY window_start)),
       r AS (SELECT domain, window_start, CASE WHEN slow THEN count(*) FILTER (slow) OVER (PARTITION BY domain, gs ORDER BY window_start) ELSE 0 END AS slow_minutes,
-        CASE WHEN bad THEN count(*) FILTER (bad) OVER (PARTITION BY domain, gb ORDER BY window_start) ELSE 0 END AS error_minutes FROM g)
+        CASE WHEN bad THEN count(*) FILTER (bad) OVER (PARTITION BY domain, gb ORDER BY window_start) ELSE 0 END AS error_minutes FROM g)"""
+
+
+@query(
+    "rollback_runs", "audit_v",
+    f"""WITH {_WIN}, {STREAKS}
       SELECT *, slow_minutes >= 10 OR error_minutes >= 5 AS rollback FROM r""",
 )
 def rollback_runs(t: Tables) -> DataFrame:

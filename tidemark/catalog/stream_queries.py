@@ -8,6 +8,7 @@ from ..sources import store as st
 from ..streaming import streams as sm
 from .feature_queries import rounded
 from .registry import query
+from .store_queries import STREAKS
 from .views import VIEWS, Tables
 
 
@@ -144,26 +145,25 @@ def stream_expire(t: Tables) -> DataFrame:
     return box.current().groupBy("entity_key").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "stream_slo", "audit_v events",
-    f"""SELECT domain, date_trunc('minute', created_at)::TIMESTAMP AS window_start, count(*) AS n, round(avg(CASE WHEN status >= 500 THEN 1e0 ELSE 0e0 END), 6) AS error_rate
-      FROM audit_v WHERE date_trunc('minute', created_at)::TIMESTAMP + INTERVAL 1 MINUTE <= {_CLOSED} GROUP BY domain, date_trunc('minute', created_at)""",
-)
-def stream_slo(t: Tables) -> DataFrame:
+#: Closed minutes of each service.
+_MINUTES = f"""slo AS (SELECT domain, date_trunc('minute', created_at)::TIMESTAMP AS window_start, count(*) AS n, avg(CASE WHEN status >= 500 THEN 1e0 ELSE 0e0 END) AS error_rate,
+      quantile_cont(latency_ms, 0.95) AS p95_ms FROM audit_v WHERE date_trunc('minute', created_at)::TIMESTAMP + INTERVAL 1 MINUTE <= {_CLOSED} GROUP BY domain, date_trunc('minute', created_at))"""
+
+
+def _slo(t: Tables, label: str) -> DataFrame:
     audit = _view(t, "audit_v", events=_stream(t, late=True))
-    return rounded(_run(t, sm.stream_slo(audit, "10 minutes"), "slo").select("domain", "window_start", "n", "error_rate"), "error_rate")
+    return mo.slo_of_counts(_run(t, sm.stream_slo(audit, "10 minutes"), label))
 
 
-@query(
-    "stream_slo_rollback", "audit_v events",
-    f"""WITH m AS (SELECT domain, date_trunc('minute', created_at)::TIMESTAMP AS window_start, max(latency_ms) AS p95_ms FROM audit_v
-        WHERE date_trunc('minute', created_at)::TIMESTAMP + INTERVAL 1 MINUTE <= {_CLOSED} GROUP BY domain, date_trunc('minute', created_at) HAVING count(*) < 20)
-      SELECT domain, count(*) AS minutes FROM m WHERE p95_ms > CASE domain WHEN 'churn' THEN 240 ELSE 160 END GROUP BY 1""",
-)
+@query("stream_slo", "audit_v events", f"WITH {_MINUTES} SELECT domain, window_start, n, round(error_rate, 6) AS error_rate, round(p95_ms, 6) AS p95_ms FROM slo")
+def stream_slo(t: Tables) -> DataFrame:
+    return rounded(_slo(t, "slo").select("domain", "window_start", "n", "error_rate", "p95_ms"), "error_rate", "p95_ms")
+
+
+@query("stream_slo_rollback", "audit_v events", f"WITH {_MINUTES}, {STREAKS} SELECT *, slow_minutes >= 10 OR error_minutes >= 5 AS rollback FROM r")
 def stream_slo_rollback(t: Tables) -> DataFrame:
-    audit = _view(t, "audit_v", events=_stream(t, late=True))
-    out = mo.rollback_condition(_run(t, sm.stream_slo(audit, "10 minutes"), "slo2"))
-    return out.filter((F.col("slow_minutes") > 0) & (F.col("n") < 20)).groupBy("domain").agg(F.count(F.lit(1)).alias("minutes"))
+    """Streaks of violating minutes and the rollback flag of every closed minute."""
+    return mo.rollback_condition(_slo(t, "slo2")).select("domain", "window_start", "slow_minutes", "error_minutes", "rollback")
 
 
 _DAY_EDGES = ", ".join(f"quantile_cont(value, {i / 10}) AS q{i}" for i in range(1, 10))

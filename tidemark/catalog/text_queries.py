@@ -68,7 +68,13 @@ _ON_CHUNKS = _CHUNKS + ", " + _BM25.format(id="chunk_id", text="content", corpus
 _ON_DOCS = _BM25.format(id="doc_id", text="text", corpus="documents")
 
 
-@query("bm25_terms", "documents benchmark", f"WITH {_ON_CHUNKS} SELECT term, df, round(idf, 6) AS idf FROM idf")
+#: The term table alone, each step made once.
+_TERMS = _CHUNKS + """, words AS MATERIALIZED (SELECT chunk_id, unnest(list_distinct(list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> ''))) AS term FROM chunks),
+  df AS MATERIALIZED (SELECT term, count(*) AS df FROM words GROUP BY 1), st AS MATERIALIZED (SELECT count(*) AS n FROM chunks),
+  raw AS MATERIALIZED (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS r FROM df, st), mean AS (SELECT avg(r) AS m FROM raw)"""
+
+
+@query("bm25_terms", "documents benchmark", f"WITH {_TERMS} SELECT term, df, round(CASE WHEN r < 0 THEN 0.25 * m ELSE r END, 6) AS idf FROM raw, mean")
 def bm25_terms(t: Tables) -> DataFrame:
     return rounded(rt.term_table(_chunks(t)), "idf")
 
@@ -308,4 +314,4 @@ def citations(t: Tables) -> DataFrame:
        QUALIFY row_number() OVER (ORDER BY rating, request_id) <= 500""",
 )
 def hard_set(t: Tables) -> DataFrame:
-    return an.hard_set(t.feedback_v)
+    return an.hard_set(t.feedback_v, min_count=20, max_count=500)

@@ -162,12 +162,14 @@ def ablation(scored: DataFrame, by: tuple[str, ...] = ("mode",), latency: str =
     return means.join(exact_quantiles(scored, latency, {"latency_p95_ms": 0.95}, by), list(by), "left")
 
 
-def hard_set(
-    feedback: DataFrame, min_count: int = 20, max_count: int = 500, row_id: str = "request_id"
-) -> DataFrame:
-    """Low-rated or unfaithful requests, lowest rating first, at most ``max_count``; empty when fewer than ``min_count``."""
+def hard_set(feedback: DataFrame, min_count: int | None = None, max_count: int | None = None, row_id: str = "request_id") -> DataFrame:
+    """Low-rated or unfaithful requests; all of them unless the caller names bounds.
+
+    With ``max_count`` only the lowest ratings (ties by id) up to that number;
+    with ``min_count`` none where there are fewer.
+    """
     low = feedback.filter((F.coalesce("rating", F.lit(5)) <= 2) | (F.coalesce("faithfulness", F.lit(1.0)) < 0.7))
-    kept = low.orderBy("rating", row_id).limit(max_count)
-    # At most max_count rows are left to count.
-    sized = kept.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
-    return sized.filter(F.col("__n") >= min_count).drop("__n")
+    kept = low if max_count is None else low.orderBy("rating", row_id).limit(max_count)
+    if min_count is None:
+        return kept
+    return kept.join(F.broadcast(kept.agg(F.count(F.lit(1)).alias("__n"))), F.col("__n") >= min_count).drop("__n")

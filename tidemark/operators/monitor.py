@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.temporal import Moment, moment, span
 from .ordered import exact_quantiles, run_lengths, top_k
@@ -91,6 +91,43 @@ def slo_windows(
     return out.join(exact_quantiles(flat, "latency_ms", {"p95_ms": 0.95}, (by, "window_start")), [by, "window_start"])
 
 
+def latency_counts(audit: DataFrame, size: str = "1 minute", ts: str = "created_at", by: str = "domain") -> DataFrame:
+    """(by, window_start, latency_ms, n, failed): requests per window and whole millisecond, and how many of them failed.
+
+    Counts of the same window merge by addition, so they can be made by many
+    tasks, also on a stream; their number is bounded by the latencies that
+    occur, not by the requests.
+    """
+    rows = audit.select(by, F.window(ts, size).alias("w"), F.col("latency_ms").cast("bigint").alias("latency_ms"), (F.col("status") >= 500).cast("bigint").alias("failed"))
+    counted = rows.groupBy(by, "w", "latency_ms").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"))
+    return counted.select(by, F.col("w.start").alias("window_start"), "latency_ms", "n", "failed")
+
+
+def slo_of_counts(counts: DataFrame, by: str = "domain", p: float = 0.95) -> DataFrame:
+    """(by, window_start, n, error_rate, p95_ms) of ``latency_counts``: the quantile is exact, read off by rank.
+
+    Requests without a latency count in n and the error rate only.
+    """
+    keys = (by, "window_start")
+    merged = counts.groupBy(*keys, "latency_ms").agg(F.sum("n").alias("n"), F.sum("failed").alias("failed"))
+    # One row per millisecond that occurs in a window: its order is bounded.
+    timed = F.when(F.col("latency_ms").isNotNull(), F.col("n")).otherwise(0)
+    running = Window.partitionBy(*keys).orderBy(F.col("latency_ms").asc_nulls_first())
+    placed = merged.withColumn("upto", F.sum(timed).over(running)).withColumn("total", F.sum(timed).over(Window.partitionBy(*keys)))
+    position = (F.col("total") - 1) * F.lit(p)
+    low = F.floor(position)
+
+    def at(rank: Column) -> Column:
+        here = F.col("latency_ms").isNotNull() & (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+        return F.max(F.when(here, F.col("latency_ms").cast("double")))
+
+    out = placed.groupBy(*keys).agg(
+        F.sum("n").alias("n"), (F.sum("failed") / F.sum("n")).alias("error_rate"),
+        at(low).alias("lo"), at(F.least(low + 1, F.col("total") - 1)).alias("hi"), F.max(position - low).alias("w"),
+    )
+    return out.select(*keys, "n", "error_rate", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w")).alias("p95_ms"))
+
+
 def _level(value: Column, limits: dict[str, float]) -> Column:
     return F.when(value > limits["critical"], "critical").when(value > limits["warning"], "warning")
 

@@ -86,22 +86,53 @@ def top_fraction(df: DataFrame, order: list[tuple[str, str]], fraction: float, b
     return out.filter(F.col("__rank") <= F.floor(F.col("__size") * F.lit(fraction))).drop("__rank", "__size")
 
 
+#: Accuracy of the sketch that brackets quantiles, and the share of ranks that a bracket leaves on either side.
+SKETCH, MARGIN = 2000, 3 / 2000
+#: Groups whose brackets may be sent to all tasks (a few hundred bytes each); beyond that rows and brackets meet in a shuffle.
+SENT_GROUPS = 20_000
+
+
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), distinct: str | None = None
+    df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), distinct: str | None = None, few: int = 10, margin: float = MARGIN
 ) -> DataFrame:
-    """Linear-interpolated quantiles without holding a group in one task.
-
-    Equal values are collapsed first, so the range partitioning sees unique
-    keys and a value holding a third of all rows is one row.  ``distinct``
-    names a column for the number of distinct values, which comes for free.
+    """Linear-interpolated quantiles by bracketing: no sort of all values, no group in one task.
+
+    A sketch pass gives each quantile two values of the data that enclose it.
+    A second pass keeps the values inside brackets, equal ones collapsed, and
+    collapses each gap between brackets to one count; only those few rows are
+    put in order.  Where a bracket should miss its quantile, wider ones are
+    tried; the widest hold everything.  ``distinct`` names a column for the
+    number of distinct values: exact up to ``few``, else some number above.
     """
-    collapsed = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    ordered = prefix_sum(collapsed, [(value, "asc")], {"__n": "__upto"}, by=by, totals={"__n": "__total"})
-
+    keyed = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v"))
+    names = list(probs)
+    ends = [max(0.0, p - margin) for p in probs.values()] + [min(1.0, p + margin) for p in probs.values()]
+    grid = [i / 100 for i in range(101)] if distinct else []
+    sketch = keyed.groupBy(*by).agg(F.percentile_approx("__v", [*ends, *grid], SKETCH).alias("__q"))
+    n = len(names)
+    brackets = sketch.select(
+        *[F.col(c).alias(f"__b_{c}") for c in by],
+        *[F.col("__q")[i].alias(f"__lo{i}") for i in range(n)],
+        *[F.col("__q")[n + i].alias(f"__hi{i}") for i in range(n)],
+        F.size(F.array_distinct("__q")).alias("__seen"),
+    )
+    brackets = cut(brackets)
+    condition = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__b_{c}")) for c in by], F.lit(True))
+    sides = F.broadcast(brackets) if not by or brackets.count() <= SENT_GROUPS else brackets
+    rows = keyed.join(sides, condition)
+    v = F.col("__v")
+    inside = reduce(lambda x, y: x | y, [(F.col(f"__lo{i}") <= v) & (v <= F.col(f"__hi{i}")) for i in range(n)])
+    if distinct:
+        inside = inside | (F.col("__seen") <= few)  # so few values: all are kept, and counted
+    below = [F.when(F.col(f"__hi{i}") < v, F.col(f"__hi{i}")) for i in range(n)]
+    gap = below[0] if n == 1 else F.greatest(*below)
+    rows = rows.select(*by, F.when(inside, v).otherwise(gap).alias("__k"), (~inside).alias("__gap"), "__seen")
+    collapsed = rows.groupBy(*by, "__k", "__gap").agg(F.count(F.lit(1)).alias("__n"), F.first("__seen").alias("__seen"))
+    ordered = prefix_sum(collapsed, [("__k", "asc"), ("__gap", "asc")], {"__n": "__upto"}, by=by, totals={"__n": "__total"})
     first = F.col("__upto") - F.col("__n")
 
     def at(index: Column) -> Column:
-        return F.max(F.when((first <= index) & (index < F.col("__upto")), F.col(value).cast("double")))
+        return F.max(F.when(~F.col("__gap") & (first <= index) & (index < F.col("__upto")), F.col("__k").cast("double")))
 
     aggs = []
     for name, p in probs.items():
@@ -112,7 +143,11 @@ def exact_quantiles(
             at(F.least(low + 1, F.col("__total") - 1)).alias(f"__hi_{name}"),
             F.max(position - low).alias(f"__w_{name}"),
         ]
-    picked = ordered.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("__kinds"))
+    kinds = F.greatest(F.count(F.lit(1)), F.max("__seen").cast("bigint"))
+    picked = cut(ordered.groupBy(*by).agg(*aggs, kinds.alias("__kinds"), F.max("__total").alias("__total")))
+    missed = reduce(lambda x, y: x | y, [F.col(f"__lo_{m}").isNull() | F.col(f"__hi_{m}").isNull() for m in names])
+    if margin < 1 and not picked.filter(missed & (F.col("__total") > 0)).isEmpty():
+        return exact_quantiles(df, value, probs, by, distinct, few, margin * 20)
     return picked.select(
         *by,
         *([F.col("__kinds").alias(distinct)] if distinct else []),

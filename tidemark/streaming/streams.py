@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.temporal import Moment, time_bucket
 from ..operators.drift import bin_counts, drift_triggers, psi_of_counts
-from ..operators.monitor import slo_windows
+from ..operators.monitor import latency_counts
 from ..operators.policy import Rule, apply_rules
 from ..sources.store import OnlineStore, append_audit
 
@@ -111,9 +111,9 @@ def stream_expire(online_rows: DataFrame, store: OnlineStore, now: Moment, check
 
 
 def stream_slo(audit: DataFrame, delay: str, size: str = "1 minute", ts: str = "created_at") -> DataFrame:
-    """Service windows as a stream; the streak rule runs over the written windows."""
-    windows = slo_windows(watermarked(audit, ts, delay), size, None, ts)
-    return windows.withColumn("window_start", wall_clock("window_start"))
+    """Latency counts of closed service windows as a stream; ``monitor.slo_of_counts`` makes exact quantiles of what it wrote, then the streak rule runs."""
+    counts = latency_counts(watermarked(audit, ts, delay), size, ts)
+    return counts.withColumn("window_start", wall_clock("window_start"))
 
 
 def stream_audit(decided: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
