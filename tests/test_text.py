@@ -163,3 +163,26 @@ def test_parser_hook(spark, tmp_path):
 
     files = spark.read.format("binaryFile").load(str(tmp_path))
     assert [(r.page, r.content) for r in tx.document_pages(files, parse).collect()] == [(1, "first"), (3, "second")]
+
+
+@pytest.mark.parametrize("more", [{}, {"max_queries": 0}, {"max_bytes": 10}])
+def test_keyword_search_against_all_pairs(spark, more):
+    """Words inside tokens, odd characters, nulls and ties; by the dictionary and, beyond its bounds, by shuffles."""
+    rng = random.Random(3)
+    parts = ["an", "na", "Ban", "ana", "é", "z", "banana", "日本", "x" * 50]
+    texts = [" ".join("".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(0, 12))) for _ in range(120)] + [None, "", " \t "]
+    asked = [" ".join(rng.sample(parts, rng.randrange(0, 5))) for _ in range(15)] + ["AN an", None, "  ", "nothing-like-it"]
+    chunks = spark.createDataFrame([(f"c{i:03d}", t) for i, t in enumerate(texts)], "chunk_id string, content string").repartition(4)
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, query string")
+    want = []
+    for q, text in enumerate(asked):
+        words = set((text or "").lower().split())
+        scored = sorted((-sum(w in t.lower() for w in words), f"c{i:03d}") for i, t in enumerate(texts) if t)
+        want += [(q, c, float(-s), r) for r, (s, c) in enumerate([x for x in scored if x[0] < 0][:4], 1)]
+    got = rt.keyword_topk(chunks, queries, k=4, **more).select("query_id", "chunk_id", "score", "rank").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_tokens_are_looked_up_in_bounded_memory():
+    words = rt._WordsIn(["a", "ab", "bc"], kept=2)
+    assert [sorted(words.of(t)) for t in ("abc", "xa", "none", "bcbc", "abc")] == [[0, 1, 2], [0], [], [2], [0, 1, 2]] and len(words.known) <= 2

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import drift, monitor as mo, policy
 from ..session import scratch_path, shuffle_width
 from ..sources import store as st
-from ..streaming import streams as sm
+from ..streaming import expiry, streams as sm
 from .feature_queries import rounded
 from .registry import query
 from .store_queries import STREAKS
@@ -145,6 +145,21 @@ def stream_expire(t: Tables) -> DataFrame:
     return box.current().groupBy("entity_key").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "stream_live", "events",
+    """WITH l AS (SELECT concat('user_id:', cast(user_id AS string)) AS entity_key, event_type AS feature_set_version, max(ts) AS materialized_at FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+      SELECT * FROM l WHERE materialized_at + INTERVAL 6 HOUR >= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+)
+def stream_live(t: Tables) -> DataFrame:
+    """Features that are live when the stream ends: state of each key that timers clear six hours after its last row."""
+    rows = _stream(t, late=True).filter("ts IS NOT NULL").select("user_id", "event_type", "value", "ts")
+    online = st.to_online(rows, "fraud", "x", "user_id", "2024-02-01 00:00:00", 6 * 3600, "ts")
+    online = online.withColumn("feature_set_version", F.get_json_object("features", "$.event_type")).withColumn("materialized_at", F.col("event_time"))
+    with expiry.keyed_state(t.spark):
+        changes = _run(t, expiry.live_changes(online, "10 minutes"), "live")
+    return expiry.live_rows(changes).select("entity_key", "feature_set_version", sm.wall_clock("materialized_at").alias("materialized_at"))
+
+
 #: Closed minutes of each service.
 _MINUTES = f"""slo AS (SELECT domain, date_trunc('minute', created_at)::TIMESTAMP AS window_start, count(*) AS n, avg(CASE WHEN status >= 500 THEN 1e0 ELSE 0e0 END) AS error_rate,
       quantile_cont(latency_ms, 0.95) AS p95_ms FROM audit_v WHERE date_trunc('minute', created_at)::TIMESTAMP + INTERVAL 1 MINUTE <= {_CLOSED} GROUP BY domain, date_trunc('minute', created_at))"""

@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from ..functions.scalars import split_words
 from ..session import cut
@@ -260,16 +262,101 @@ def phrase_hits(
     return whole.unionByName(longer)
 
 
+class _WordsIn:
+    """Which of the given words each token contains; tokens that were seen before are looked up, in a dictionary of bounded size."""
+
+    def __init__(self, words: list[str], kept: int = 1 << 18):
+        self.number = {w: i for i, w in enumerate(words)}
+        self.lengths = sorted({len(w) for w in words})
+        self.kept, self.known = kept, {}
+
+    def of(self, token: str) -> tuple[int, ...]:
+        found = self.known.get(token)
+        if found is None:
+            n, number = len(token), self.number
+            hits = {number.get(token[i : i + size]) for size in self.lengths if size <= n for i in range(n - size + 1)}
+            hits.discard(None)
+            found = tuple(hits)
+            if len(self.known) >= self.kept:
+                self.known.clear()
+            self.known[token] = found
+        return found
+
+
+def _keyword_scan(rows: DataFrame, asked: list[tuple], k: int, schema: str, cells: int = 1 << 22) -> DataFrame:
+    """The best ``k`` chunks of each task for every query; ``rows`` (chunk_id, tokens), ``asked`` (query_id, distinct words).
+
+    A task holds ``cells`` counts of one slice of rows and k rows per query.
+    """
+    words = sorted({w for _, own in asked for w in own})
+    types = [to_arrow_type(f.dataType) for f in StructType.fromDDL(schema)]
+    shared = rows.sparkSession.sparkContext.broadcast((words, asked))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        words, asked = shared.value
+        within_token, number = _WordsIn(words), {w: i for i, w in enumerate(words)}
+        # The queries of each word, one list after the other.
+        askers: list[list[int]] = [[] for _ in words]
+        for q, (_, own) in enumerate(asked):
+            for w in own:
+                askers[number[w]].append(q)
+        askers = [np.array(x, np.int64) for x in askers]
+        n = len(asked)
+        ids, held, scores = [], np.zeros((0, 2), np.int64), np.zeros(0, np.int64)  # held: query, place in ids
+        for batch in batches:
+            for start in range(0, batch.num_rows, max(1, cells // n)):
+                some = batch.slice(start, max(1, cells // n))
+                names, tokens = some.column(0).to_pylist(), some.column(1).to_pylist()
+                counts = np.zeros((len(names), n), np.int64)
+                for row, own in zip(counts, tokens):
+                    hits = {w for t in own or () for w in within_token.of(t)}
+                    if hits:
+                        row += np.bincount(np.concatenate([askers[w] for w in hits]), minlength=n)
+                # Of this slice, what reaches the k-th best count of its query, ties included.
+                least = np.maximum(np.partition(counts, max(0, len(names) - k), axis=0)[max(0, len(names) - k)], 1)
+                at, query = np.nonzero(counts >= least)
+                held = np.concatenate([held, np.column_stack([query, at + len(ids)])])
+                scores, ids = np.concatenate([scores, counts[at, query]]), ids + names
+                order = sorted(range(len(held)), key=lambda i: (held[i, 0], -scores[i], ids[held[i, 1]]))
+                query = held[order, 0]
+                order = np.array(order, np.int64)[np.arange(len(order)) - np.searchsorted(query, query) < k]
+                used, place = np.unique(held[order, 1], return_inverse=True)
+                held, scores, ids = np.column_stack([held[order, 0], place]), scores[order], [ids[i] for i in used]
+        if len(held):
+            columns = [[asked[q][0] for q in held[:, 0]], [ids[i] for i in held[:, 1]], scores.astype(float)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["query_id", "chunk_id", "score"])
+
+    return rows.mapInArrow(run, schema)
+
+
 def keyword_topk(
     chunks: DataFrame, queries: DataFrame, k: int = TOP_K, chunk_id: str = "chunk_id", text: str = "content",
-    query_id: str = "query_id", query: str = "query",
+    query_id: str = "query_id", query: str = "query", max_queries: int = 50_000, max_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """Score = number of distinct lower-cased query words contained in the lower-cased text; only positive scores."""
-    words = queries.select(
-        F.col(query_id).alias("query_id"), F.explode(F.array_distinct(split_words(F.lower(F.col(query))))).alias("phrase")
-    )
-    hits = phrase_hits(chunks, words, chunk_id, text, lower=True)
-    scores = hits.join(words, "phrase").groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
+    """Score = number of distinct lower-cased query words contained in the lower-cased text; only positive scores.
+
+    A word has no white space, so a text contains it where one of its tokens
+    does.  Up to ``max_queries`` queries whose words have ``max_bytes`` in all
+    go to every task, which looks each token up in a dictionary from tokens to
+    the words inside them, counts inside the row and keeps its best k rows a
+    query: one scan, nothing else is shuffled.  Beyond that words and tokens
+    meet in shuffles.  ``chunk_id`` tells chunks apart.
+    """
+    id_type, q_type = (df.schema[c].dataType.simpleString() for df, c in ((chunks, chunk_id), (queries, query_id)))
+    words = queries.select(F.col(query_id).alias("query_id"), F.array_distinct(split_words(F.lower(F.col(query)))).alias("words")).filter(F.size("words") > 0)
+    size = words.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.array_join("words", " "))), F.lit(0)).alias("bytes")).first()
+    if size["n"] <= max_queries and size["bytes"] <= max_bytes:
+        asked = [(r["query_id"], r["words"]) for r in words.collect()]
+        tokens = F.array_distinct(split_words(F.lower(F.col(text))))
+        schema = f"query_id {q_type}, chunk_id {id_type}, score double"
+        found = _keyword_scan(chunks.select(F.col(chunk_id).alias("chunk_id"), tokens.alias("tokens")), asked, k, schema) if asked else chunks.sparkSession.createDataFrame([], schema)
+        return top_k(found, ["query_id"], [("score", "desc"), ("chunk_id", "asc")], k)
+    each = words.select("query_id", F.explode("words").alias("phrase"))
+    hits = phrase_hits(chunks, each, chunk_id, text, lower=True)
+    scores = hits.join(each, "phrase").groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
     return top_k(scores, ["query_id"], [("score", "desc"), ("chunk_id", "asc")], k)
 
 
