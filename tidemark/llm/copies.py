@@ -3,12 +3,13 @@
 Two texts are near copies where their sets of five-word shingles have a
 similarity (common over all) of ``SHARE`` or more.  ``BANDS`` keys of ``ROWS``
 MinHash values each bring texts together: a pair of similarity 0.8 shares no
-key in 2 cases of 10,000, one of 0.85 in 2 of a million.  What a key brings
+key in 2 cases of 10,000, one of 0.85 in 2 of a million.  What keys bring
 together is compared on the sets themselves, which are written once for the
-texts that share a key.  A task compares one key's texts, or two parts of them
-where they are many, and returns one row for each text: the root it is linked
-to.  It skips pairs that are connected already, so the texts of one dense
-group cost little more than one comparison each; no pairs are ever rows.
+texts that share a key.  A task compares a family, the texts that chains of
+shared keys connect; a family of more than ``PART`` texts is compared key by
+key instead, two parts of a key's texts at a time.  A task returns one row for
+each text, the one it is linked to, never pairs.  It skips pairs that are
+connected already, so a dense group costs few comparisons for each text.
 """
 
 from __future__ import annotations
@@ -215,17 +216,37 @@ def links(docs: DataFrame, part: int = PART) -> DataFrame:
     sets = cut(_sets(docs, nodes))
     sizes = _stored(sets.select("entry", "size"))
     placed = _stored(shared.join(nodes, ["h1", "h2"]).select("band", "key", "entry"))
+    # Texts that chains of shared keys connect are a family; a family of moderate size is compared as one, so its sets travel once.
+    lows = _stored(placed.groupBy("key").agg(F.min("entry").alias("low")))
+    chains = _stored(placed.join(lows, "key").filter("entry != low").select(F.col("entry").alias("a"), F.col("low").alias("b")).distinct())
+    families = connected_components(chains).select(F.col("node").alias("entry"), F.col("root").alias("family"))
+    families = _stored(families.join(sizes, "entry"))
+    totals = families.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
+    small = (F.col("n") <= part) & (F.col("total") <= PART_SHINGLES)
+    families = _stored(families.join(totals, "family").select("entry", "family", small.alias("small")))
+    one, none = F.col("family").alias("key"), F.lit(0).alias("part")
+    stars = _compared(families.filter("small").select(one, "entry", F.col("entry").alias("root"), F.lit(1).alias("parts"), none), sets, False, width)
+    roots = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = roots.unionAll(stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    large = families.filter("not small").select("entry")
+    if not large.isEmpty():
+        roots = roots.unionAll(_by_keys(_stored(placed.join(large, "entry")), sets, sizes, part, width))
+    return nodes.join(roots, nodes["entry"] == roots["node"]).select("h1", "h2", "root")
+
+
+def _by_keys(placed: DataFrame, sets: DataFrame, sizes: DataFrame, part: int, width: int) -> DataFrame:
+    """node, root: classes of the texts of ``placed`` (band, key, entry), compared key by key."""
     edges, roots = [], None
     for bands in (f"band < {FIRST_BANDS}", f"band >= {FIRST_BANDS}"):
         batch = placed.filter(bands).select("key", "entry")
         rows = _open(batch, roots, sizes, part)
         edges.append(_compared(rows, sets, False, width))
-        roots = connected_components(reduce(DataFrame.unionAll, edges))
+        roots = _stored(connected_components(reduce(DataFrame.unionAll, edges)))
         if not rows.filter("parts > 1").isEmpty():
             rows = _open(rows.select("key", "entry"), roots, sizes, part)
             edges.append(_compared(rows, sets, True, width))
-            roots = connected_components(reduce(DataFrame.unionAll, edges))
-    return nodes.join(roots, nodes["entry"] == roots["node"]).select("h1", "h2", "root")
+            roots = _stored(connected_components(reduce(DataFrame.unionAll, edges)))
+    return roots
 
 
 def deduplicate(docs: DataFrame, part: int = PART) -> DataFrame:
