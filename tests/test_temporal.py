@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import temporal as tp
-from tidemark.operators import asof, fraud, saas, spine
+from tidemark.operators import asof, features as ft, fraud, saas, spine
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -112,3 +112,13 @@ def test_per_event_velocity_of_one_busy_hour_is_linear(spark):
     assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
     assert out.agg(F.sum("count_1h")).first()[0] == n * (n - 1) // 2
     assert time.time() - begin < 30
+
+
+def test_active_days_by_bits(spark):
+    """Calendar days inside the window, its first and last one included; nulls and rows outside count nothing."""
+    times = ["2024-01-01 00:00:00", "2024-01-01 23:59:59", "2024-01-02 12:00:00", "2024-01-31 00:00:00", "2023-12-31 23:59:59", None]
+    df = spark.createDataFrame([("a", t) for t in times], "k string, t string").selectExpr("k", "CAST(t AS TIMESTAMP_NTZ) AS ts")
+    got = ft.build_features(df, "k", "ts", ["2024-01-31 00:00:00"], [ft.Feature("days", "active_days", timedelta(days=30)), ft.Feature("n", "count", timedelta(days=31))])
+    assert [(r["days"], r["n"]) for r in got.collect()] == [(2, 4)]
+    with pytest.raises(ValueError):
+        ft.build_features(df, "k", "ts", ["2024-01-31 00:00:00"], [ft.Feature("days", "active_days", timedelta(days=90))])

@@ -317,3 +317,36 @@ def rolling_splits(t: Tables) -> DataFrame:
     rows = spine.assign_splits(t.orders, "o_orderdate", spine.rolling_splits(start, end, n_splits=12))
     out = rows.groupBy("split_id", "part", "starts", "ends").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean_price"))
     return rounded(out, "mean_price")
+
+
+#: A declarative spec over transactions: sums, counts, latest values and flags with windows in hours and days.
+_SPEC = {
+    "features": [
+        {"name": "count_6h", "source": "transactions", "window_hours": 6, "aggregation": "count"},
+        {"name": "devices_7d", "source": "transactions", "window_days": 7, "aggregation": "count_distinct"},
+        {"name": "amount_14d", "source": "transactions", "window_days": 14, "aggregation": "sum"},
+        {"name": "largest_30d", "source": "transactions", "window_days": 30, "aggregation": "max"},
+        {"name": "mean_30d", "source": "transactions", "window_days": 30, "aggregation": "mean"},
+        {"name": "crypto_30d", "source": "transactions", "window_days": 30, "aggregation": "any"},
+        {"name": "last_device", "source": "transactions", "window_days": 30, "aggregation": "latest"},
+        {"name": "elsewhere", "source": "profiles", "window_days": 30, "aggregation": "count"},
+    ]
+}
+
+
+@query(
+    "spec_features", "transactions_v",
+    f"""SELECT user_id, s.as_of_time, count(*) FILTER (event_time >= s.as_of_time - INTERVAL 6 HOUR) AS count_6h,
+      count(DISTINCT device_id) FILTER (event_time >= s.as_of_time - INTERVAL 7 DAY) AS devices_7d,
+      round(coalesce(sum(amount) FILTER (event_time >= s.as_of_time - INTERVAL 14 DAY), 0), 6) AS amount_14d, max(amount) AS largest_30d, round(avg(amount), 9) AS mean_30d,
+      CAST(coalesce(bool_or(payment_method = 'crypto'), FALSE) AS INTEGER) AS crypto_30d, arg_max(device_id, (event_time, transaction_id)) AS last_device
+    FROM transactions_v, {as_of_values(EVENT_AS_OFS)} WHERE {in_window('event_time', 's.as_of_time', 30)} GROUP BY ALL""",
+)
+def spec_features(t: Tables) -> DataFrame:
+    """Features compiled from a parsed spec; entries of other sources are left out."""
+    bindings = {
+        "count_6h": {}, "devices_7d": {"column": "device_id"}, "amount_14d": {"column": "amount"}, "largest_30d": {"column": "amount"}, "mean_30d": {"column": "amount"},
+        "crypto_30d": {"where": F.col("payment_method") == "crypto"}, "last_device": {"column": "device_id"}, "elsewhere": {},
+    }
+    rows = ft.build_features(t.transactions_v, "user_id", "event_time", EVENT_AS_OFS, ft.from_spec(_SPEC, "transactions", bindings), tie="transaction_id")
+    return rounded(rounded(rows, "amount_14d"), "mean_30d", digits=9)

@@ -172,6 +172,31 @@ def rolling_evaluation(t: Tables) -> DataFrame:
     return out.withColumns({c: F.round(c, 4) for c in ("mean", "std", "min", "max")})
 
 
+@query(
+    "rolling_classification", "orders",
+    """WITH b AS (SELECT min(o_orderdate) AS s, max(o_orderdate) AS e FROM orders),
+       r AS (SELECT i + 1 AS split_id, s + to_days(CAST(30 * i + 300 AS INTEGER)) AS starts, s + to_days(CAST(30 * i + 330 AS INTEGER)) AS ends FROM b,
+         (SELECT unnest(range(6)) AS i) g WHERE s + to_days(CAST(30 * i + 330 AS INTEGER)) <= e),
+       x AS (SELECT o_orderdate, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS y, (o_orderkey * 7919 % 1000) / 1e3 AS p FROM orders),
+       m AS (SELECT split_id, avg((p - y) * (p - y)) AS brier, avg(CASE WHEN (p >= 0.5) = (y = 1) THEN 1e0 ELSE 0e0 END) AS accuracy,
+         coalesce(count(*) FILTER (p >= 0.5 AND y = 1) * 1e0 / nullif(count(*) FILTER (p >= 0.5), 0), 0) AS precision,
+         coalesce(count(*) FILTER (p >= 0.5 AND y = 1) * 1e0 / nullif(count(*) FILTER (y = 1), 0), 0) AS recall
+         FROM r JOIN x ON o_orderdate >= starts AND o_orderdate < ends GROUP BY 1),
+       l AS (UNPIVOT m ON brier, accuracy, precision, recall INTO NAME metric VALUE value)
+       SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max, count(*) AS n_runs FROM l GROUP BY 1""",
+)
+def rolling_classification(t: Tables) -> DataFrame:
+    """Classifier metrics of each rolling test part, then their mean, population spread and range."""
+    score = (F.col("o_orderkey") * 7919 % 1000) / F.lit(1000.0)
+    rows = t.orders.select("o_orderdate", (F.col("o_totalprice") > 150000).cast("int").alias("y"), score.alias("p"))
+    start, end = spine.time_bounds(t.orders, "o_orderdate")
+    tests = [s for s in spine.rolling_splits(start, end, n_splits=6) if s["part"] == "test"]
+    per_split = mx.binary_metrics(spine.assign_splits(rows, "o_orderdate", tests), "y", "p", ("split_id",))
+    per_split = per_split.select("split_id", "brier", "accuracy", "precision", "recall")
+    out = mx.aggregate_runs(mx.to_long(per_split, ("split_id",)), population=True)
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "min", "max")})
+
+
 # Gate thresholds of the churn model.
 CHURN_GATE = {
     "churn": {

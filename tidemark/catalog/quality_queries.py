@@ -76,14 +76,16 @@ def contract_check(t: Tables) -> DataFrame:
     return ql.check_contract(rows, rules).select("transaction_id", "violations")
 
 
+# Allowed payment methods and currencies.
 _DOMAINS = {"payment_method": ["credit_card", "debit_card", "bank_transfer", "digital_wallet", "crypto", "other"], "currency": ["USD", "EUR", "GBP", "CNY", "JPY", "OTHER"]}
+_METHODS, _CURRENCIES = (", ".join(f"'{v}'" for v in _DOMAINS[c]) for c in ("payment_method", "currency"))
 
 
 @query(
     "domain_check", "transactions_v",
-    """SELECT 'payment_method' AS "column", count(*) AS violations, list_slice(list_sort(list(DISTINCT payment_method)), 1, 10) AS bad_values FROM transactions_v
-        WHERE payment_method NOT IN ('credit_card', 'debit_card', 'bank_transfer', 'digital_wallet', 'crypto', 'other')
-      UNION ALL SELECT 'currency', count(*), list_slice(list_sort(list(DISTINCT currency)), 1, 10) FROM transactions_v WHERE currency NOT IN ('USD', 'EUR', 'GBP', 'CNY', 'JPY', 'OTHER')""",
+    f"""SELECT 'payment_method' AS "column", count(*) AS violations, list_slice(list_sort(list(DISTINCT payment_method)), 1, 10) AS bad_values FROM transactions_v
+        WHERE payment_method NOT IN ({_METHODS})
+      UNION ALL SELECT 'currency', count(*), list_slice(list_sort(list(DISTINCT currency)), 1, 10) FROM transactions_v WHERE currency NOT IN ({_CURRENCIES})""",
 )
 def domain_check(t: Tables) -> DataFrame:
     return ql.domain_check(t.transactions_v, _DOMAINS)
@@ -128,10 +130,10 @@ def expectations(t: Tables) -> DataFrame:
 
 @query(
     "quality_gate", "transactions_v",
-    """WITH m AS (SELECT max(r) AS max_missing_rate FROM (SELECT avg(CASE WHEN payment_method IS NULL THEN 1e0 ELSE 0e0 END) AS r FROM transactions_v UNION ALL
+    f"""WITH m AS (SELECT max(r) AS max_missing_rate FROM (SELECT avg(CASE WHEN payment_method IS NULL THEN 1e0 ELSE 0e0 END) AS r FROM transactions_v UNION ALL
         SELECT avg(CASE WHEN amount IS NULL THEN 1e0 ELSE 0e0 END) FROM transactions_v)),
-      v AS (SELECT count(*) FILTER (payment_method NOT IN ('credit_card', 'debit_card', 'bank_transfer', 'digital_wallet', 'crypto', 'other'))
-        + count(*) FILTER (currency NOT IN ('USD', 'EUR', 'GBP', 'CNY', 'JPY', 'OTHER')) AS violations FROM transactions_v)
+      v AS (SELECT count(*) FILTER (payment_method NOT IN ({_METHODS}))
+        + count(*) FILTER (currency NOT IN ({_CURRENCIES})) AS violations FROM transactions_v)
       SELECT round(max_missing_rate, 6) AS max_missing_rate, CAST(1 AS BIGINT) AS schema_drift, violations,
         ['missing_rate_exceeded', 'schema_drift', 'domain_set_violations'] AS failure_reasons, FALSE AS passed, 'block' AS action FROM m, v""",
 )
@@ -140,6 +142,34 @@ def quality_gate(t: Tables) -> DataFrame:
     return rounded(ql.quality_gate(report), "max_missing_rate")
 
 
+@query(
+    "quality_report", "transactions_v",
+    f"""WITH r AS (SELECT 'payment_method' AS "column", avg(CASE WHEN payment_method IS NULL THEN 1e0 ELSE 0e0 END) AS missing_rate,
+        count(*) FILTER (payment_method NOT IN ({_METHODS})) AS violations, 1 AS drift, list_slice(list_sort(list(DISTINCT payment_method) FILTER (payment_method NOT IN ({_METHODS}))), 1, 10) AS bad FROM transactions_v
+      UNION ALL SELECT 'currency', avg(CASE WHEN currency IS NULL THEN 1e0 ELSE 0e0 END), count(*) FILTER (currency NOT IN ({_CURRENCIES})), 0,
+        list_slice(list_sort(list(DISTINCT currency) FILTER (currency NOT IN ({_CURRENCIES}))), 1, 10) FROM transactions_v
+      UNION ALL SELECT 'amount', avg(CASE WHEN amount IS NULL THEN 1e0 ELSE 0e0 END), 0, 1, NULL FROM transactions_v)
+      SELECT "column", round(missing_rate, 6) AS missing_rate, CAST(drift AS BIGINT) AS schema_drift, violations,
+        list_sort(list_filter([CASE WHEN "column" = 'payment_method' THEN 'expectation failed: not_null' WHEN "column" = 'amount' THEN 'schema: type' END,
+          CASE WHEN violations > 0 THEN 'outside its domain: ' || array_to_string(bad, ', ') END], lambda e: e IS NOT NULL)) AS errors FROM r""",
+)
+def quality_report(t: Tables) -> DataFrame:
+    """The merged report with its error texts."""
+    rows = t.transactions_v.select("payment_method", "currency", "amount")
+    return rounded(ql.quality_report(rows, _DOMAINS, {"amount": {"type": "categorical", "nullable": True}}), "missing_rate")
+
+
+@query(
+    "amount_chain", "transactions_v",
+    """SELECT transaction_id, coalesce(CASE WHEN transaction_id % 3 = 0 THEN amount_usd END, CASE WHEN transaction_id % 2 = 0 THEN amount END, 0) AS value FROM transactions_v""",
+)
+def amount_chain(t: Tables) -> DataFrame:
+    """The first amount that is there, else zero."""
+    key = F.col("transaction_id")
+    rows = t.transactions_v.select(key, F.when(key % 3 == 0, F.col("amount_usd")).alias("amount_usd"), F.when(key % 2 == 0, F.col("amount")).alias("amount"))
+    return rows.select("transaction_id", prep.amount_or_zero(rows).alias("value"))
+
+
 @query(
     "prepare_wide", "subscriptions_v",
     """WITH c AS (SELECT subscription_id, start_date, coalesce(mrr_amount, -999) AS mrr_amount, coalesce(arr_amount, -999) AS arr_amount,

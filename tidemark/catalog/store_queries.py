@@ -138,6 +138,17 @@ def usage_metrics(t: Tables) -> DataFrame:
     return rounded(mo.usage_metrics(t.audit_v), "latency_sum")
 
 
+@query(
+    "usage_tokens", "audit_v",
+    """SELECT domain, count(*) AS n, CAST(sum(entity_key % 50) AS BIGINT) AS prompt_tokens, CAST(sum(latency_ms % 7) AS BIGINT) AS completion_tokens, count(*) FILTER (status >= 500) AS no_evidence
+      FROM audit_v GROUP BY 1""",
+)
+def usage_tokens(t: Tables) -> DataFrame:
+    """Token totals and answers without evidence."""
+    asked = t.audit_v.withColumns({"prompt_tokens": F.col("entity_key") % 50, "completion_tokens": F.col("latency_ms") % 7, "no_evidence": F.col("status") >= 500})
+    return mo.usage_metrics(asked).select("domain", "n", "prompt_tokens", "completion_tokens", "no_evidence")
+
+
 _WIN = """win AS (SELECT domain, time_bucket(INTERVAL 1 MINUTE, created_at, TIMESTAMP '1970-01-01') - to_minutes(k) AS window_start, latency_ms, status FROM audit_v, (SELECT unnest(range(5)) AS k)),
   slo AS (SELECT domain, window_start, count(*) AS n, avg(CASE WHEN status >= 500 THEN 1e0 ELSE 0e0 END) AS error_rate, quantile_cont(latency_ms, 0.95) AS p95_ms FROM win GROUP BY ALL)"""
 

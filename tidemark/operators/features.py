@@ -19,8 +19,9 @@ DAY = timedelta(days=1)
 class Feature:
     """One aggregate over one look-back window.
 
-    ``aggregation`` is count, count_distinct, sum, mean, max, min, any, changed,
-    latest, recency, slope (last week minus first week over four), weekly_mean
+    ``aggregation`` is count, count_distinct, active_days (different calendar
+    days with a value, windows of up to 62 days), sum, mean, max, min, any,
+    changed, latest, recency, slope (last week minus first week over four), weekly_mean
     or regr_slope (least squares over the weeks of the window).
     """
 
@@ -46,7 +47,9 @@ class Feature:
         if kind == "count_distinct":
             return F.count_distinct(inside).alias(self.name)
         if kind == "changed":
-            return (F.count_distinct(inside) > 1).cast("int").alias(self.name)
+            return F.coalesce(F.min(inside) < F.max(inside), F.lit(False)).cast("int").alias(self.name)
+        if kind == "active_days":
+            return _marked(hit & value.isNotNull(), F.datediff(as_of, F.col(ts)), self.window.days).alias(self.name)
         if kind == "any":
             flag = hit if self.column is None else hit & F.coalesce(value.cast("boolean"), F.lit(False))
             return F.coalesce(F.max(flag.cast("int")), F.lit(0)).alias(self.name)
@@ -65,7 +68,7 @@ class Feature:
     @property
     def missing(self) -> Any:
         """What an entity without any row in the window has."""
-        if self.aggregation in ("count", "count_distinct", "changed", "any"):
+        if self.aggregation in ("count", "count_distinct", "active_days", "changed", "any"):
             return 0
         return 0.0 if self.aggregation in ("slope", "regr_slope", "weekly_mean") else self.default
 
@@ -85,7 +88,7 @@ class Feature:
     def _trend(self, ts: str, as_of: Column, hit: Column) -> Column:
         total = F.count(F.when(hit, 1))
         if self.aggregation == "weekly_mean":
-            weeks = F.count_distinct(F.when(hit, time_bucket(ts, 7 * DAY)))
+            weeks = _marked(hit, time_bucket(as_of, 7 * DAY) - time_bucket(ts, 7 * DAY), self.window.days // 7 + 1)
             return F.coalesce(F.try_divide(total.cast("double"), weeks), F.lit(0.0))
         n = self.window.days // 7
         if self.aggregation == "slope":
@@ -104,6 +107,13 @@ class Feature:
         return terms
 
 
+def _marked(hit: Column, place: Column, most: int) -> Column:
+    """How many different places (0 to ``most``) the hits have: a bit each in one number, so nothing distinct is kept apart."""
+    if most > 62:
+        raise ValueError("a longer window needs count_distinct")
+    return F.coalesce(F.bit_count(F.bit_or(F.when(hit, F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))))), F.lit(0)).cast("bigint")
+
+
 def build_features(
     df: DataFrame,
     entity: str | list[str],
@@ -198,7 +208,7 @@ def from_spec(spec: dict, source: str, bindings: dict[str, dict], closed: str =
 
 def _usage() -> list[Feature]:
     return [
-        Feature("active_days_30d", "count_distinct", 30 * DAY, "__day"),
+        Feature("active_days_30d", "active_days", 30 * DAY),
         Feature("sessions_7d", "count", 7 * DAY, where=F.col("event_type") == "session_start"),
         Feature("core_feature_cnt_14d", "count_distinct", 14 * DAY, "feature_name", F.col("event_type") == "feature_use"),
     ]
@@ -227,13 +237,9 @@ def _plan() -> list[Feature]:
     return [Feature("plan_tier", "latest", None, "plan", default=None)]
 
 
-def _with_day(events: DataFrame) -> DataFrame:
-    return events.withColumn("__day", F.to_date("event_time"))
-
-
 def usage_group(events: DataFrame, entity: str, as_ofs: list[Moment]) -> DataFrame:
     """events: entity, event_time, event_type, feature_name."""
-    return build_features(_with_day(events), entity, "event_time", as_ofs, _usage())
+    return build_features(events, entity, "event_time", as_ofs, _usage())
 
 
 def payment_group(payments: DataFrame, subscriptions: DataFrame, entity: str, as_ofs: list[Moment]) -> DataFrame:
@@ -284,7 +290,7 @@ def event_log_features(
         ]
     # One compile per source: all its features share a scan.
     groups = [
-        build_features(_with_day(events), entity, "event_time", as_ofs, _usage() + _trend()),
+        build_features(events, entity, "event_time", as_ofs, _usage() + _trend()),
         build_features(payments, entity, "event_time", as_ofs, _failures() + _revenue()),
         build_features(subscriptions, entity, "event_time", as_ofs, _price_changes() + _plan(), tie=tie),
         support_group(tickets, entity, as_ofs),

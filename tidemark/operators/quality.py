@@ -118,31 +118,37 @@ def expectation_report(df: DataFrame, columns: list[str] | None = None, mostly:
 
 
 def merge_reports(reports: list[DataFrame]) -> DataFrame:
-    """Reports are (column, missing_rate, schema_drift, violations, errors): missing takes the maximum, counts add up."""
+    """Reports are (column, missing_rate, schema_drift, violations, errors): missing takes the maximum, counts add up, error texts are gathered once each.
+
+    A column has one text per failed check, so the gathered lists are short.
+    """
     from .ordered import union_all
 
     return union_all(reports).groupBy("column").agg(
         F.max("missing_rate").alias("missing_rate"),
         F.sum("schema_drift").alias("schema_drift"),
         F.sum("violations").alias("violations"),
+        F.sort_array(F.collect_set("errors")).alias("errors"),
     )
 
 
 def quality_report(df: DataFrame, domains: dict[str, list] | None = None, expected: dict[str, dict] | None = None) -> DataFrame:
     """One row per column with its missing rate, drift and violation counts."""
-    zero = F.lit(0).cast("bigint")
+    zero, one, none = F.lit(0).cast("bigint"), F.lit(1).cast("bigint"), F.lit(None).cast("string")
+
+    def entry(rows: DataFrame, missing: Column, drift: Column, violations: Column, errors: Column) -> DataFrame:
+        return rows.select("column", missing.alias("missing_rate"), drift.alias("schema_drift"), violations.alias("violations"), errors.alias("errors"))
+
+    failed = expectation_report(df).filter(~F.col("passed"))
     parts = [
-        missing_rates(df).select("column", "missing_rate", zero.alias("schema_drift"), zero.alias("violations")),
-        expectation_report(df).filter(~F.col("passed")).select(
-            "column", F.lit(0.0).alias("missing_rate"), F.lit(1).cast("bigint").alias("schema_drift"), zero.alias("violations")
-        ),
+        entry(missing_rates(df), F.col("missing_rate"), zero, zero, none),
+        entry(failed, F.lit(0.0), one, zero, F.concat(F.lit("expectation failed: "), F.col("expectation"))),
     ]
     if expected:
-        parts.append(
-            schema_check(df, expected).select("column", F.lit(0.0).alias("missing_rate"), F.lit(1).cast("bigint").alias("schema_drift"), zero.alias("violations"))
-        )
+        parts.append(entry(schema_check(df, expected), F.lit(0.0), one, zero, F.concat(F.lit("schema: "), F.col("problem"))))
     if domains:
-        parts.append(domain_check(df, domains).select("column", F.lit(0.0).alias("missing_rate"), zero.alias("schema_drift"), "violations"))
+        seen = F.when(F.col("violations") > 0, F.concat(F.lit("outside its domain: "), F.array_join("bad_values", ", ")))
+        parts.append(entry(domain_check(df, domains), F.lit(0.0), zero, F.col("violations"), seen))
     return merge_reports(parts)
 
 

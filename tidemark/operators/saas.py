@@ -15,6 +15,12 @@ from .spine import active_rows, at_risk, attach_as_of
 
 DAY = timedelta(days=1)
 
+# The model's features, in order.
+FEATURES = [
+    "active_days_30d", "sessions_7d", "core_feature_cnt_14d", "payment_fail_30d", "price_change_flag", "discount_used_90d", "tickets_30d",
+    "avg_resolution_hours_90d", "high_sev_ticket_30d", "usage_slope_4w", "recency_days", "avg_revenue_90d", "plan_tier",
+]
+
 # Plan codes.
 PLAN_CODES = {"Basic": 0, "Pro": 1, "Enterprise": 2}
 
@@ -73,12 +79,8 @@ def saas_features(
     backup = accounts.select("account_id", ordinal("plan_tier", PLAN_CODES, 0).alias("__account_plan"))
     merged = merged.join(backup, "account_id", "left")
     plan = F.coalesce("plan_tier", "__account_plan", F.lit(0))
-    return merged.select(
-        *keys, "active_days_30d", "sessions_7d", "core_feature_cnt_14d",
-        F.lit(0).alias("payment_fail_30d"), "price_change_flag", F.lit(0).alias("discount_used_90d"),
-        "tickets_30d", "avg_resolution_hours_90d", "high_sev_ticket_30d", "usage_slope_4w",
-        "recency_days", "avg_revenue_90d", plan.alias("plan_tier"),
-    )
+    made = {"payment_fail_30d": F.lit(0), "discount_used_90d": F.lit(0), "plan_tier": plan}
+    return merged.select(*keys, *[made.get(c, F.col(c)).alias(c) for c in FEATURES])
 
 
 def _usage(subs: DataFrame, usage: DataFrame, as_ofs: list[Moment]) -> DataFrame:

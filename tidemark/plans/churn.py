@@ -11,10 +11,7 @@ from ..functions.temporal import Moment
 from ..operators import gates, metrics, models, saas
 from ..session import cut
 
-FEATURES = [
-    "active_days_30d", "sessions_7d", "core_feature_cnt_14d", "payment_fail_30d", "price_change_flag", "discount_used_90d", "tickets_30d",
-    "avg_resolution_hours_90d", "high_sev_ticket_30d", "usage_slope_4w", "recency_days", "avg_revenue_90d", "plan_tier",
-]
+FEATURES = saas.FEATURES
 
 
 def training_table(tables: dict[str, DataFrame], as_ofs: list[Moment], churn_days: int = 30, ltv_days: int = 90) -> DataFrame:
