@@ -4,6 +4,7 @@ import re
 import struct
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -120,3 +121,15 @@ def test_sketches_merge_and_contain(spark):
         sketch.resemblance(s["a"], s["whole"]).alias("half"),
     ).first()
     assert row["merged"] and row["inside"] == 1.0 and row["around"] < 0.12 and 0.42 < row["half"] < 0.58
+
+
+def test_containment_of_short_in_long_texts(spark):
+    """Unrelated short texts are never inside a long one, those cut from it are wherever anything can be compared; no words are inside everything."""
+    rng = np.random.default_rng(6)
+    long = [f"w{x}" for x in rng.integers(0, 10**6, 5000)]
+    short = [(" ".join(f"u{x}" for x in rng.integers(0, 10**6, 14)), " ".join(long[k * 20 : k * 20 + 14])) for k in range(60)]
+    rows = spark.createDataFrame([(u, c, " ".join(long)) for u, c in short], "unrelated string, cut string, whole string")
+    s = {c: sketch.sketch(F.col(c)) for c in rows.columns}
+    got = rows.select(sketch.containment(s["unrelated"], s["whole"]).alias("u"), sketch.containment(s["cut"], s["whole"]).alias("c"), sketch.containment(sketch.sketch(F.lit("")), s["whole"]).alias("n")).collect()
+    assert all(r["u"] in (None, 0.0) and r["c"] in (None, 1.0) and r["n"] == 1.0 for r in got)
+    assert any(r["u"] == 0.0 for r in got) and any(r["c"] == 1.0 for r in got) and any(r["u"] is None for r in got)

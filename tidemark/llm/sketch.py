@@ -77,8 +77,13 @@ def resemblance(a: Column, b: Column, threshold: int = THRESHOLD, floor: int = F
 
 
 def containment(a: Column, b: Column, threshold: int = THRESHOLD, floor: int = FLOOR) -> Column:
-    """Estimated share of the shingles of ``a`` that ``b`` has; nothing is contained in anything."""
-    return _shared(a, b, lambda both, x, y: F.when(x == 0, 1.0).otherwise(both / F.greatest(x, F.lit(1))), threshold, floor).cast("double")
+    """Estimated share of the shingles of ``a`` that ``b`` has: 1 where ``a`` has no words, null where none of its hashes can be compared.
+
+    Both sketches are cut to what both hold in full.  Of a short ``a`` against
+    a long ``b`` nothing may be left below that: then nothing is known.
+    """
+    share = _shared(a, b, lambda both, x, y: F.when(x > 0, both / F.greatest(x, F.lit(1))), threshold, floor)
+    return F.when(F.size(a) == 0, 1.0).otherwise(share).cast("double")
 
 
 def as_text(s: Column) -> Column:
