@@ -168,10 +168,22 @@ def test_spread_join_equals_the_plain_join(spark, how):
 
     left = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"), "id")
     right = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
-    assert skew.hot_keys(left, "k", 0.2) == [7]
+    assert [r["__hot"] for r in skew.hot_keys(left, "k", 0.2).collect()] == [7]
     got = skew.spread_join(left, right, "k", how, share=0.2, salts=8)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     wide = skew.spread_join(left, right, "k", how, share=0.2, salts=8).select("k").count()
     assert wide == want.count()
+
+
+def test_building_a_spread_join_runs_nothing(spark):
+    from tidemark.operators import skew
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-join", "none of its jobs may run")
+    try:
+        skew.spread_join(spark.range(100).withColumn("k", F.col("id") % 3), spark.range(3).withColumnRenamed("id", "k"), "k")
+        assert list(tracker.getJobIdsForGroup("lazy-join")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.02) -> list:
-    """Keys holding more than ``share`` of the rows: at most 1/share values.
-
-    One pass: counts per key and their total come from one grouping, and only
-    the largest few are read back.
-    """
-    counts = df.rollup(key).agg(F.count(F.lit(1)).alias("__n"), F.grouping(key).alias("__all"))
-    top = counts.orderBy(F.desc("__all"), F.desc("__n")).limit(int(1 / share) + 2).collect()
-    total = next((r["__n"] for r in top if r["__all"]), 0)
-    return [r[key] for r in top if not r["__all"] and r[key] is not None and r["__n"] > total * share]
+def hot_keys(df: DataFrame, key: str, share: float = 0.02) -> DataFrame:
+    """__hot: the keys that hold more than ``share`` of the rows, at most 1 / share of them, as part of the plan."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    return counts.filter(F.col(key).isNotNull() & (F.col("__n") > total * share)).select(F.col(key).alias("__hot"))
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = 0.02, salts: int = 64) -> DataFrame:
@@ -22,17 +17,16 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
 
     Rows of hot keys are dealt over ``salts`` sub-keys by their own hash; only
     the matching rows of the other side (a few) are copied.  All other keys
-    keep a single sub-key.  Without hot keys this is the plain join.
+    keep a single sub-key.  Nothing runs while the plan is built: the hot
+    keys, at most 1 / share, are found and sent to the tasks when it runs.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError("only joins that keep or filter the left side can be spread")
-    hot = hot_keys(left, key, share)
-    if not hot:
-        return left.join(right, key, how)
-    is_hot: Column = F.col(key).isin(hot)
+    hot = F.broadcast(hot_keys(left, key, share))
     others = [c for c in left.columns if c != key]
     deal = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int") if others else F.lit(0)
-    dealt = left.withColumn("__salt", F.when(is_hot, deal).otherwise(0))
+    is_hot: Column = F.col("__hot").isNotNull()
+    dealt = left.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__salt", F.when(is_hot, deal).otherwise(0)).drop("__hot")
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.withColumn("__salt", F.explode(copies))
+    copied = right.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__salt", F.explode(copies)).drop("__hot")
     return dealt.join(copied, [key, "__salt"], how).drop("__salt")
