@@ -73,6 +73,35 @@ def offer_candidates(users: DataFrame, offers: list[Offer], **names) -> DataFram
     return rows.select("user_id", "offer_type", "profit", (F.col("cents") / 100.0).alias("cost"), (-F.col("order")).alias("profit_per_cost"))
 
 
+_ORDER = [("order", "asc"), ("cents", "asc"), ("user_id", "asc")]
+
+
+def _dearest(options: DataFrame) -> int:
+    """The largest cost in cents: one number."""
+    return options.agg(F.max(F.array_max(F.transform("options", lambda o: o["cents"]))).alias("c")).first()["c"] or 0
+
+
+def _first_phase(options: DataFrame, limits: dict[str, int]) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The first phase of all budgets at once, where each could pay any option: one prefix sum of every user's best option.
+
+    Budgets differ in where they cut it; a user is unfolded per budget only
+    then.  Returns taken rows, waiting rows, and what is left of each budget
+    that overflowed.
+    """
+    rows = options.select("user_id", "options").filter(F.size("options") > 0)
+    rows = rows.withColumns({"order": F.col("options")[0]["order"], "cents": F.col("options")[0]["cents"]})
+    run = cut(prefix_sum(rows, _ORDER, {"cents": "spent"}).select("user_id", "options", "cents", "spent"))
+    spent, names = F.col("spent"), list(limits)
+    sums = [F.sum(F.when(spent <= limits[k], F.col("cents"))).alias(f"u{i}") for i, k in enumerate(names)]
+    state = run.agg(F.coalesce(F.max("spent"), F.lit(0)).alias("all"), *sums).first()
+    table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).cast("bigint").alias("v")) for k, v in limits.items()])
+    within = F.transform(F.filter(table, lambda b: spent <= b["v"]), lambda b: b["k"])
+    beyond = F.transform(F.filter(table, lambda b: spent > b["v"]), lambda b: b["k"])
+    taken = run.select(F.explode(within).alias("budget_id"), "user_id", F.col("options")[0].alias("o"))
+    waiting = run.select(F.explode(beyond).alias("budget_id"), "user_id", "options")
+    return taken, waiting, {k: limits[k] - (state[f"u{i}"] or 0) for i, k in enumerate(names) if state["all"] > limits[k]}
+
+
 def greedy_select(options: DataFrame, budgets: dict[str, float]) -> DataFrame:
     """Skip-and-continue greedy for several budgets at once.
 
@@ -87,22 +116,27 @@ def greedy_select(options: DataFrame, budgets: dict[str, float]) -> DataFrame:
     Distributed form: as long as a prefix of every user's best open option
     fits, the walk takes exactly that prefix.  Past the first overflow, users
     served and options that no longer fit drop out and the next phase goes on.
+    Budgets that can pay any option share the first phase.
     Each phase retires at least one cost level, so phases <= distinct costs.
     Costs are whole cents, so sums do not depend on their order.  A user's
     options travel in its row: a phase is one range-partitioned prefix sum.
     """
     left = {k: _cents(v) for k, v in budgets.items()}
-    if "budget_id" not in options.columns:
-        options = options.withColumn("budget_id", F.explode(F.array(*[F.lit(k) for k in budgets])))
-    waiting = options.select("budget_id", "user_id", "options")
     taken_parts: list[DataFrame] = []
+    if "budget_id" in options.columns:
+        waiting = options.select("budget_id", "user_id", "options")
+    elif len(budgets) > 1 and min(left.values()) >= _dearest(options):
+        taken, waiting, left = _first_phase(options, left)
+        taken_parts.append(taken)
+    else:
+        waiting = options.select(F.explode(F.array(*[F.lit(k) for k in budgets])).alias("budget_id"), "user_id", "options")
     while left:
         limits = F.create_map(*[x for k, v in left.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
         limit = F.try_element_at(limits, F.col("budget_id"))
         affordable = F.filter("options", lambda o: o["cents"] <= limit)
         rows = waiting.withColumn("options", affordable).filter(F.size("options") > 0)
         rows = rows.withColumns({"order": F.col("options")[0]["order"], "cents": F.col("options")[0]["cents"]})
-        run = prefix_sum(rows, [("order", "asc"), ("cents", "asc"), ("user_id", "asc")], {"cents": "spent"}, by=("budget_id",))
+        run = prefix_sum(rows, _ORDER, {"cents": "spent"}, by=("budget_id",))
         run = cut(run.withColumn("taken", F.col("spent") <= limit))
         state = run.groupBy("budget_id").agg(
             F.sum(F.when(F.col("taken"), F.col("cents")).otherwise(0)).alias("used"), F.bool_or(~F.col("taken")).alias("overflow")
