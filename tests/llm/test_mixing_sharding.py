@@ -92,6 +92,18 @@ def test_shards(documents, hard_rows, copies):
     assert [r["hilbert"] for r in ordered] == sorted(r["hilbert"] for r in got)
 
 
+def test_borders_come_from_all_rows(spark):
+    """A table far above any draw: the borders are those of its sorted values, nulls left out, whatever the partitions."""
+    n = 30_011
+    rows = spark.range(n).selectExpr("id * 7919 % 30011 AS size", "if(id % 10 = 0, null, concat('s', id % 23)) AS source", "'x' AS lang")
+    columns = {c: rows[c] for c in ("source", "lang", "size")}
+    want = {"lang": [], "size": sorted({n * k // 16 for k in range(1, 16)})}
+    values = sorted(f"s{i % 23}" for i in range(n) if i % 10)
+    want["source"] = sorted({values[len(values) * k // 16] for k in range(1, 16)} - {values[0]})
+    assert sharding.borders(rows, columns, 16) == sharding.borders(rows.repartition(7), columns, 16) == want
+    assert sharding.borders(rows.limit(0), columns, 16) == {"source": [], "lang": [], "size": []}
+
+
 def test_written_shards_can_be_pruned(spark, tmp_path):
     docs = spark.read.parquet(DOCS)
     sharding.write_shards(docs, sharding.assign(docs, shards=8), f"{tmp_path}/shards")

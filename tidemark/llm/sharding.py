@@ -9,6 +9,8 @@ them reads few shards.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,8 +18,6 @@ from .common import prefix_sum, text_of
 
 SHARDS = 40
 BITS = 4
-#: Rows drawn to place the cell borders, about; borders change file pruning only, never the law.
-BORDER_ROWS = 10_000
 
 
 def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
@@ -42,11 +42,31 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def borders(values: list, cells: int) -> list:
-    """At most ``cells - 1`` increasing values that cut sorted ``values`` into runs of about equal length."""
-    values = sorted(v for v in values if v is not None)
-    picks = [values[len(values) * k // cells] for k in range(1, cells)] if values else []
-    return sorted({p for p in picks if p > values[0]}) if values else []
+def borders(docs: DataFrame, columns: dict[str, Column], cells: int) -> dict[str, list]:
+    """For each column at most ``cells - 1`` increasing values that cut all its values into runs of about equal length.
+
+    With n values in order, these are the ones at places n * k // cells that
+    are above the least; nulls do not count.  Exact: equal values collapse in
+    one scan, and their counts are summed in order over range partitions.
+    """
+    names = list(columns)
+    kinds = dict(docs.select(*[c.alias(name) for name, c in columns.items()]).dtypes)
+    slots = {kind: f"__{kind}" for kind in dict.fromkeys(kinds.values())}
+    entries = [
+        F.struct(F.lit(i).alias("__axis"), *[(columns[name] if kinds[name] == kind else F.lit(None).cast(kind)).alias(slot) for kind, slot in slots.items()])
+        for i, name in enumerate(names)
+    ]
+    values = docs.select(F.inline(F.array(*entries))).filter(reduce(lambda x, y: x | y, [F.col(c).isNotNull() for c in slots.values()]))
+    counts = values.groupBy("__axis", *slots.values()).agg(F.count(F.lit(1)).alias("__n"))
+    running = prefix_sum(counts, [(c, "asc") for c in slots.values()], {"__n": "__upto"}, by=("__axis",), totals={"__n": "__total"})
+
+    def places(upto: Column) -> Column:
+        """How many of the places are before ``upto``."""
+        return F.least(F.lit(cells - 1), F.floor((upto * cells + F.col("__total") - 1) / F.col("__total")) - 1)
+
+    first = F.col("__upto") - F.col("__n")
+    picked = running.filter((first > 0) & (places(F.col("__upto")) > F.greatest(places(first), F.lit(0)))).collect()
+    return {name: sorted(r[slots[kinds[name]]] for r in picked if r["__axis"] == i) for i, name in enumerate(names)}
 
 
 def cell_of(column: Column, edges: list) -> Column:
@@ -57,14 +77,14 @@ def cell_of(column: Column, edges: list) -> Column:
     return out
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, border_rows: int = BORDER_ROWS) -> DataFrame:
+def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """doc_id, size, text_crc32, hilbert, shard and slot of every row of ``docs`` (doc_id, text, source, lang).
 
     Law ``rows``: shard sizes differ by one row at most, the longer ones
     first.  Null texts are empty, null source or language is the first cell,
     equal rows take neighbouring slots, no rows give no rows.  Other columns
-    are ignored.  A cell may hold any share of the rows: the order inside it
-    is cut like any other.
+    are ignored.  Cell borders come from the values of all rows.  A cell may
+    hold any share of the rows: the order inside it is cut like any other.
     """
     rows = docs.select(
         "doc_id",
@@ -73,14 +93,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, border_rows:
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
     )
-    share = min(1.0, border_rows / max(docs.count(), 1))
-    sample = docs.select("source", "lang", F.octet_length(text_of()).alias("bytes")).sample(share, seed=11).collect()
-    cells = 1 << bits
-    axes = [
-        cell_of(F.col("source"), borders([r["source"] for r in sample], cells)),
-        cell_of(F.col("lang"), borders([r["lang"] for r in sample], cells)),
-        cell_of(F.col("size"), borders([r["bytes"] + 16 for r in sample], cells)),
-    ]
+    axes = [cell_of(F.col(name), edges) for name, edges in borders(rows, {c: F.col(c) for c in ("source", "lang", "size")}, 1 << bits).items()]
     names = ["__a0", "__a1", "__a2"]
     keyed = rows.withColumns(dict(zip(names, axes)))
     keyed = keyed.join(F.broadcast(curve(docs.sparkSession, names, bits)), names).drop(*names, "source", "lang")
