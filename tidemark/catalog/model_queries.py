@@ -127,8 +127,8 @@ def ltv_scores(t: Tables) -> DataFrame:
 def isolation_scores(t: Tables) -> DataFrame:
     rows = t.lineitem.withColumn("id", F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    forest = md.IsolationForest(columns, "id", sample=256).fit(rows)
-    return forest.predict(rows).select("l_orderkey", "l_linenumber", "l_partkey", F.col("score").between(0, 1).alias("in_range"))
+    scored = md.IsolationForest(columns, "id", sample=256).fit_predict(rows, ["l_orderkey", "l_linenumber", "l_partkey"])
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", F.col("score").between(0, 1).alias("in_range"))
 
 
 @query(

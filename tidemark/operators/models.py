@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor, IsotonicRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut
 from .ordered import exact_quantiles, ranked
 
 # Boosting and forest settings, LTV quantile factors, isolation forest size.
@@ -226,6 +227,19 @@ def grow_isolation_trees(df: DataFrame, features: list[str], row_id: str, trees:
     return rows.groupBy("tree").applyInPandas(grow, schema)
 
 
+def _walkable(nodes) -> tuple:
+    """Feature, cut, children (right, left) and path of every node of one tree, its number of levels and its sample size."""
+    import numpy as np
+
+    feature, left, right = (nodes[c].to_numpy(np.int64) for c in ("feature", "left", "right"))
+    ids, inner = np.arange(len(nodes)), feature >= 0
+    child = np.column_stack([np.where(inner, right, ids), np.where(inner, left, ids)])
+    levels, at = 0, np.zeros(1, np.int64)
+    while inner[at].any():
+        levels, at = levels + 1, np.unique(child[at[inner[at]]])
+    return np.where(inner, feature, 0), nodes["cut"].to_numpy(float), child.ravel(), nodes["path"].to_numpy(float), levels, int(nodes["size"].iloc[0])
+
+
 class IsolationForest:
     """Isolation forest: each tree is grown on ``sample`` rows drawn by hash, as the algorithm has it; all rows are scored.
 
@@ -238,45 +252,50 @@ class IsolationForest:
         self.settings = {**ISOLATION, "sample": sample, **settings}
         self.nodes, self.offset = None, 0.0
 
-    def fit(self, df: DataFrame) -> "IsolationForest":
+    def _fitted(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` and the score ``__s`` of all rows, written: the passes of the quantile and the caller read them, the trees are walked once."""
         s = self.settings
         grown = grow_isolation_trees(df, self.features, self.row_id, s["trees"], s["sample"], s["seed"])
         self.nodes = grown.toPandas().sort_values(["tree", "node"])
-        scored = self.score(df, "__s").select("__s")
-        row = exact_quantiles(scored, "__s", {"q": s["contamination"]}).first()
-        self.offset = row["q"]
+        scored = cut(self.score(df, "__s").select(*keep, "__s"))
+        self.offset = exact_quantiles(scored.select("__s"), "__s", {"q": s["contamination"]}).first()["q"]
+        return scored
+
+    def fit(self, df: DataFrame) -> "IsolationForest":
+        self._fitted(df, [])
         return self
 
+    def fit_predict(self, df: DataFrame, keep: list[str], out: str = "score") -> DataFrame:
+        """``keep`` and the score of the rows the forest is fitted to."""
+        return self._decided(self._fitted(df, keep), out)
+
     def score(self, df: DataFrame, out: str = "score_sample") -> DataFrame:
         """Negative anomaly score in [-1, 0]; lower is more anomalous."""
-        shared = df.sparkSession.sparkContext.broadcast(
-            [t[["feature", "cut", "left", "right", "path", "size"]].to_numpy() for _, t in self.nodes.groupby("tree")]
-        )
+        shared = df.sparkSession.sparkContext.broadcast([_walkable(t) for _, t in self.nodes.groupby("tree")])
+        weight = sum(_average_path(size) for _, _, _, _, _, size in shared.value)
 
         @F.pandas_udf("double")
         def depth(*columns):
             import numpy as np
             import pandas as pd
 
-            x = np.column_stack([c.to_numpy() for c in columns])
-            total, weight = np.zeros(len(x)), 0.0
-            for t in shared.value:
-                at = np.zeros(len(x), dtype=int)
-                while True:
-                    f = t[at, 0].astype(int)
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    rows = np.flatnonzero(inner)
-                    left = x[rows, f[rows]] < t[at[rows], 1]
-                    at[rows] = np.where(left, t[at[rows], 2], t[at[rows], 3]).astype(int)
-                total += t[at, 4]
-                weight += _average_path(t[0, 5])
+            x = np.concatenate([c.to_numpy(dtype=float) for c in columns])
+            n = len(columns[0])
+            place, total = np.arange(n), np.zeros(n)
+            for feature, below, child, path, levels, _ in shared.value:
+                at, column = np.zeros(n, np.int64), feature * n
+                # A leaf leads to itself, so that all rows take the same steps.
+                for _ in range(levels):
+                    left = x.take(column.take(at) + place) < below.take(at)
+                    at = child.take(2 * at + left)
+                total += path.take(at)
             return pd.Series(-np.power(2.0, -total / max(weight, 1e-12)))
 
         return df.withColumn(out, depth(*[F.col(c).cast("double") for c in self.features]))
 
     def predict(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Sigmoid of the negated decision value, so that higher means more anomalous."""
-        scored = self.score(df, "__s")
+        return self._decided(self.score(df, "__s"), out)
+
+    def _decided(self, scored: DataFrame, out: str) -> DataFrame:
         return scored.withColumn(out, 1 / (1 + F.exp(F.col("__s") - F.lit(self.offset)))).drop("__s")
