@@ -3,7 +3,7 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import metrics as mx, models as md, trees as tr
+from ..operators import forest as fr, metrics as mx, models as md, trees as tr
 from ..plans import churn as plan
 from ..session import cut
 from .feature_queries import SAAS_AS_OFS, TRAINING_SQL
@@ -83,9 +83,10 @@ def boosted_scores(t: Tables) -> DataFrame:
 
 @query("forest_scores", _VIEWS, _SCORED_SQL)
 def forest_scores(t: Tables) -> DataFrame:
+    """All trees at their full depth; their leaves grow with the rows, so no trained model is gathered."""
     rows = _training(t)
-    model = md.train("forest", _part(rows, "train", "validation"), plan.FEATURES, "churn")
-    return _facts(md.predict(model, _part(rows, "test")))
+    scored = fr.forest_scores(_part(rows, "train", "validation"), _part(rows, "test"), plan.FEATURES, "churn", "row_id", **md.FOREST)
+    return _facts(scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 @query(
