@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import ordinal
 from ..functions.temporal import (
-    Moment, active_at, as_of_array, looking_ahead, moment, overlap_days, overlaps, span, whole_days,
+    Moment, active_at, looking_ahead, moment, overlap_days, overlaps, span, whole_days,
 )
 from .features import Feature, build_features, merge_groups
-from .spine import active_rows, at_risk, attach_as_of
+from .spine import active_rows, at_risk, attach_as_of, per_as_of
 
 DAY = timedelta(days=1)
 
@@ -38,8 +38,8 @@ def churn_labels(churn_events: DataFrame, subs: DataFrame, as_ofs: list[Moment],
     spine = at_risk(subs, "account_id", "start_date", "end_date", as_ofs).withColumn("churn", F.lit(0))
 
     def ending(df: DataFrame, at: str) -> DataFrame:
-        hits = F.filter(as_of_array(as_ofs), lambda a: looking_ahead(at, a, horizon))
-        return df.select("account_id", F.explode(hits).alias("as_of_time")).withColumn("churn", F.lit(1))
+        hits = per_as_of(df.select("account_id", at), as_ofs, lambda a: looking_ahead(at, a, horizon))
+        return hits.select("account_id", "as_of_time").withColumn("churn", F.lit(1))
 
     ends = ending(churn_events, "churn_date").unionByName(ending(subs, "end_date"))
     # Spine rows and endings meet in one aggregation; endings of accounts not at risk fall away.
@@ -50,8 +50,7 @@ def churn_labels(churn_events: DataFrame, subs: DataFrame, as_ofs: list[Moment],
 
 def ltv_labels(subs: DataFrame, as_ofs: list[Moment], horizon: timedelta = 90 * DAY) -> DataFrame:
     """Prorated revenue in (as_of, as_of+h] of accounts active at as_of, 0 when none."""
-    hits = F.filter(as_of_array(as_ofs), lambda a: overlaps("start_date", "end_date", a, horizon))
-    rows = subs.withColumn("as_of_time", F.explode(hits))
+    rows = per_as_of(subs, as_ofs, lambda a: overlaps("start_date", "end_date", a, horizon))
     a = F.col("as_of_time")
     days = overlap_days("start_date", "end_date", a, a + span(horizon))
     revenue = prorated(F.coalesce(days, F.lit(0)), F.col("billing_frequency"), F.col("mrr_amount"), F.col("arr_amount"))
@@ -85,9 +84,9 @@ def saas_features(
 
 def _usage(subs: DataFrame, usage: DataFrame, as_ofs: list[Moment]) -> DataFrame:
     """Usage of the subscriptions active at as_of, closed look-backs."""
-    # Repeated uses collapse before anything else moves, so a busy subscription is small.
-    packed = usage.groupBy("subscription_id", "usage_date", "feature_name").agg(F.count(F.lit(1)).alias("n"))
-    recent = attach_as_of(packed, "usage_date", as_ofs, 30 * DAY, "both")
+    # Repeated uses in reach of an as-of collapse before anything else moves, so a busy subscription is small.
+    recent = attach_as_of(usage, "usage_date", as_ofs, 30 * DAY, "both")
+    recent = recent.groupBy("subscription_id", "usage_date", "feature_name", "as_of_time").agg(F.count(F.lit(1)).alias("n"))
     last = usage.groupBy("subscription_id").agg(
         F.array(
             *[
@@ -121,8 +120,7 @@ def _usage(subs: DataFrame, usage: DataFrame, as_ofs: list[Moment]) -> DataFrame
 
 def _contracts(subs: DataFrame, as_ofs: list[Moment], tie: str) -> DataFrame:
     """Contract features and, from the same rows, whether the account is at risk (``__risk``)."""
-    started = F.filter(as_of_array(as_ofs), lambda a: F.col("start_date") <= a)
-    rows = subs.withColumn("as_of_time", F.explode(started))
+    rows = per_as_of(subs, as_ofs, lambda a: F.col("start_date") <= a)
     a = F.col("as_of_time")
     ninety = span(90 * DAY)
     fresh = F.col("start_date") >= a - ninety

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,6 +17,12 @@ def reaches(ts: str, a: Column, lookback: timedelta | None, closed: str) -> Colu
     return upper if lookback is None else upper & (F.col(ts) >= a - span(lookback))
 
 
+def per_as_of(df: DataFrame, as_ofs: list[Moment], wanted: Callable[[Column], Column], as_of: str = "as_of_time") -> DataFrame:
+    """One copy of each row per as-of that ``wanted`` holds for; rows that none wants go first, at the scan or before a join where they can."""
+    some = reduce(lambda x, y: x | y, [wanted(moment(a)) for a in as_ofs], F.lit(False))
+    return df.filter(some).withColumn(as_of, F.explode(as_of_array(as_ofs))).filter(wanted(F.col(as_of)))
+
+
 def attach_as_of(
     df: DataFrame, ts: str, as_ofs: list[Moment], lookback: timedelta | None, closed: str = "left", as_of: str = "as_of_time"
 ) -> DataFrame:
@@ -26,13 +34,12 @@ def attach_as_of(
     if len(as_ofs) == 1:
         only = moment(as_ofs[0])
         return df.filter(wanted(only)).withColumn(as_of, only)
-    return df.withColumn(as_of, F.explode(F.filter(as_of_array(as_ofs), wanted)))
+    return per_as_of(df, as_ofs, wanted, as_of)
 
 
 def active_rows(df: DataFrame, start: str, end: str, as_ofs: list[Moment], as_of: str = "as_of_time") -> DataFrame:
     """One copy of each interval row per as-of at which it is active."""
-    hits = F.filter(as_of_array(as_ofs), lambda a: active_at(start, end, a))
-    return df.withColumn(as_of, F.explode(hits))
+    return per_as_of(df, as_ofs, lambda a: active_at(start, end, a), as_of)
 
 
 def at_risk(subs: DataFrame, entity: str, start: str, end: str, as_ofs: list[Moment], as_of: str = "as_of_time") -> DataFrame:
