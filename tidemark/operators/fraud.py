@@ -7,11 +7,14 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.temporal import Moment, epoch_micros, looking_back, moment, span
+from ..session import shuffle_width
 from .features import DAY, Feature, add_metadata, build_features, merge_groups
 from .ordered import latest_per_key
 from .skew import spread_join
 
 HOUR = timedelta(hours=1)
+#: Rows that a task of the per-event velocity orders, on average: what it holds does not grow with the events.
+TASK_ROWS = 500_000
 
 
 def velocity_group(behavior: DataFrame, entity: str, as_ofs: list[Moment]) -> DataFrame:
@@ -106,6 +109,7 @@ def velocity_per_event(
     event_id: str,
     windows: dict[str, timedelta],
     grain: timedelta = HOUR,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Count, sum and maximum over ``[t-w, t)`` for every event, for several look-backs.
 
@@ -113,7 +117,8 @@ def velocity_per_event(
     is cut into three pieces: the current hour before the event, whole hours in
     between (from an hourly roll-up), and the tail of the oldest hour.  The
     tail arrives as a shifted copy of that hour's rows, so all pieces meet in
-    one partition and a busy entity spreads over its hours.
+    one partition and a busy entity spreads over its hours.  There are as many
+    partitions as the counted events need at ``task_rows`` rows each.
     """
     step = int(grain.total_seconds() * 1_000_000)
     base = events.select(
@@ -125,12 +130,14 @@ def velocity_per_event(
     hours = {n: int(w.total_seconds() * 1_000_000) // step for n, w in windows.items()}
 
     # Hourly roll-up and, per (entity, hour), what the whole hours in between add up to.
-    hourly = base.groupBy("e", "h").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.max("v").alias("m"))
+    dealt = events.count() * (len(hours) + 2)
+    width = max(shuffle_width(events.sparkSession), -(-dealt // task_rows))
+    hourly = base.repartition(width, "e", "h").groupBy("e", "h").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.max("v").alias("m"))
     between = {}
     for name, k in hours.items():
         w = Window.partitionBy("e").orderBy("h").rangeBetween(-(k - 1), -1)
         between |= {f"bn_{name}": F.sum("n").over(w), f"bs_{name}": F.sum("s").over(w), f"bm_{name}": F.max("m").over(w)}
-    seeds = hourly.withColumns(between).drop("n", "s", "m").withColumns({"kind": F.lit(""), "t": F.col("h") * F.lit(step) - 1})
+    seeds = hourly.repartition(width, "e").withColumns(between).drop("n", "s", "m").withColumns({"kind": F.lit(""), "t": F.col("h") * F.lit(step) - 1})
 
     own = base.withColumn("kind", F.lit("own"))
     copies = F.explode(
@@ -139,7 +146,7 @@ def velocity_per_event(
     shifted = base.select("e", "t", "v", "h", copies.alias("c")).select(
         "e", (F.col("t") + F.col("c.k") * step).alias("t"), "v", (F.col("h") + F.col("c.k")).alias("h"), F.col("c.kind").alias("kind")
     )
-    rows = own.unionByName(shifted, allowMissingColumns=True).unionByName(seeds, allowMissingColumns=True)
+    rows = own.unionByName(shifted, allowMissingColumns=True).unionByName(seeds, allowMissingColumns=True).repartition(width, "e", "h")
     hour = Window.partitionBy("e", "h").orderBy("t")
     before = hour.rangeBetween(Window.unboundedPreceding, -1)
     # From this row to the hour's end, as a growing frame: each row is added once.
