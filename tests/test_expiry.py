@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+import pandas as pd
+
 from tidemark.session import scratch_path
 from tidemark.streaming import expiry, streams as sm
 
@@ -45,3 +47,63 @@ def test_nothing_arrives(spark):
         out = scratch_path(spark, "live-none-out")
         sm.run_available(expiry.live_changes(stream, "0 seconds"), out, scratch_path(spark, "live-none-state"))
     assert expiry.live_rows(spark.read.schema(expiry.CHANGES).parquet(out)).collect() == []
+
+
+class CountedState:
+    """Stands in for the handle: one value of state, one set of timers, and how often each was called."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+def test_state_calls_do_not_grow_with_the_keys():
+    """A micro-batch of a thousand keys reads and writes their state once."""
+    handle, live = CountedState(), expiry.LiveFeatures()
+    live.init(handle)
+    for arrival in (1, 2):
+        rows = {"domain": "d", "entity_key": [f"k{i}" for i in range(1000)], "feature_set_version": "v", "features": "{}"}
+        at = [arrival * 1000 * (i + 1) for i in range(1000)]
+        part = pd.DataFrame(rows | {"event_time": at, "materialized_at": at, "until": [a + 5_000_000 for a in at]}).add_prefix("held_")
+        assert sum(len(c) for c in live.handleInputRows((0,), iter([part]), None)) == 1000
+    assert handle.calls <= 8 and handle.timers == {5_002 + 1}
+
+
+def test_keys_of_one_bucket_go_one_by_one(spark):
+    source, out = scratch_path(spark, "bucket-in"), scratch_path(spark, "bucket-out")
+    arrivals = [
+        [row("a", 0, 60), row("b", 0, 1800), row("c", 0, None), row(None, 0, 60)],
+        [row("a", 5, 60, "{again}")],
+        [row("d", 20, 3600)],
+        [row("e", 90, 3600)],
+    ]
+    for rows in arrivals:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    with expiry.keyed_state(spark):
+        stream = sm.file_stream(spark, source, spark.createDataFrame([], SCHEMA).schema, files_per_batch=1)
+        sm.run_available(expiry.live_changes(stream, "0 seconds", buckets=1), out, scratch_path(spark, "bucket-state"))
+    changes = spark.read.schema(expiry.CHANGES).parquet(out)
+    seen = sorted((r["change"], r["entity_key"] or "", r["features"]) for r in changes.collect())
+    assert [s for s in seen if s[0] == "expire"] == [("expire", "", "{}"), ("expire", "a", "{again}"), ("expire", "b", "{}"), ("expire", "d", "{}")]
+    kept = {r["entity_key"]: (r["event_time"], r["until"]) for r in expiry.live_rows(changes).collect()}
+    assert kept["c"] == (START, None) and kept["e"][1] == START + timedelta(minutes=150) and len(kept) == 2
