@@ -116,3 +116,13 @@ def test_plan_of_candidates_is_narrow(spark):
     df = spark.range(10).select(F.col("id").alias("user_id"), F.lit(0.9).alias("churn_prob"), F.lit(1000.0).alias("ltv_90d"))
     plan = al.offer_candidates(df, al.DEFAULT_OFFERS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_lagrangian_prices_a_table_of_one_file_in_all_tasks(spark, monkeypatch):
+    users = spark.range(400).coalesce(1).select(F.col("id").alias("user_id"), (F.col("id") % 97 / 97).alias("churn_prob"), (F.col("id") * 7.0).alias("ltv_90d"))
+    widths, cut = [], al.cut
+    monkeypatch.setattr(al, "cut", lambda df: widths.append(df.rdd.getNumPartitions()) or cut(df))
+    decisions, report = al.lagrangian_allocate(users, al.DEFAULT_OFFERS, 300.0)
+    r = report.first()
+    assert min(widths[:2]) >= int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert decisions.count() == 400 and r["cost"] <= 300 and 0 < r["profit"] <= r["upper_bound"] + 1e-6

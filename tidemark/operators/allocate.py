@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut
+from ..session import cut, shuffle_width
 from .metrics import decision_metrics, stratified, value_shares
 from .ordered import prefix_sum, union_all
 from .policy import churn_reason_codes
@@ -228,11 +228,13 @@ def lagrangian_allocate(
     """Near-optimal assignment under one budget -> (decisions, report).
 
     A price per cent of budget is searched on a grid; each round prices the
-    whole grid in one pass and reads back at most ``grid`` rows.  Money left at
+    whole grid in one pass over all tasks and reads back at most ``grid`` rows.  Money left at
     the final price goes to the remaining users greedily.  The report carries
     the dual bound, so the distance to the optimum is known.
     """
-    options = cut(offer_options(users, offers, user, prob, ltv).filter(F.size("options") > 0))
+    # Few bytes a user, much to reckon: a table of one file would be priced in one task.
+    spread = users.select(user, prob, ltv).repartition(shuffle_width(users.sparkSession), user)
+    options = cut(offer_options(spread, offers, user, prob, ltv)).filter(F.size("options") > 0)
     limit = _cents(budget)
     steepest = options.agg(F.max(F.array_max(F.transform("options", lambda o: o["profit"] / o["cents"])))).first()[0] or 0.0
     low, high, bound, price = 0.0, steepest, float("inf"), steepest
